@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 
 from gradeloom.runtime import prepare_checkpoints
 
-# A group above HOT_ROWS rows is cut or salted. At most MAX_HOT groups are treated
-# that way: any other group then holds less than one row in MAX_HOT. Both bounds
-# together limit what is broadcast.
+# A group above HOT_ROWS rows is treated apart. At most MAX_HOT groups are: any other
+# group then holds less than one row in MAX_HOT. MAX_CUTS limits the cut points over
+# all groups. These bounds, and not the data, set the size of what is broadcast.
 HOT_ROWS = 1_000_000
 MAX_HOT = 1_000
 MAX_CUTS = 8_192
-MAX_SALT = 1_024
 
 _KEY = "__order_key"
 _RANGE = "__order_range"
@@ -111,15 +110,16 @@ class OrderedGroups:
         keyed = df.withColumn(
             _KEY, F.struct(*[part.alias(f"o{i}") for i, part in enumerate(order)])
         )
-        hot = hot_groups(df, self.keys, hot_rows, max_hot)
-        total = hot.agg(F.sum("__n")).first()[0]
+        self.hot = hot_groups(df, self.keys, hot_rows, max_hot)
+        total = self.hot.agg(F.sum("__n")).first()[0]
         self.is_cut = total is not None
+        self.partition = [*self.keys, _RANGE] if self.is_cut else self.keys
         if not self.is_cut:
-            self.rows = keyed.withColumn(_RANGE, F.lit(0))
+            self.rows = keyed
             return
         # The number of cuts over all groups stays below MAX_CUTS at any table size.
         step = max(hot_rows // 2, -(-total // MAX_CUTS), 1)
-        cuts = _cuts(keyed, self.keys, hot, step)
+        cuts = _cuts(keyed, self.keys, self.hot, step)
         self.rows = (
             _join_small(keyed, cuts, self.keys)
             .withColumn(_RANGE, _range_of(F.col(_KEY)))
@@ -128,8 +128,8 @@ class OrderedGroups:
 
     @property
     def window(self):
-        """Window over one range in order."""
-        return Window.partitionBy(*self.keys, _RANGE).orderBy(_KEY)
+        """Window over one range, or a group that is not cut, in order."""
+        return Window.partitionBy(*self.partition).orderBy(_KEY)
 
     def finish(self, df: DataFrame) -> DataFrame:
         return df.drop(_KEY, _RANGE)
@@ -171,16 +171,8 @@ def with_rank(
     return groups.finish(carried.withColumn(output, total).drop("__carry"))
 
 
-def with_running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    value: str,
-    output: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def _running_sum(groups: OrderedGroups, value: str, output: str) -> DataFrame:
     """Add the sum of a whole-number column over the group up to each row."""
-    groups = OrderedGroups(df, keys, order, hot_rows)
     so_far = groups.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = groups.rows.withColumn(output, F.sum(value).over(so_far))
     carried = groups.with_carry(
@@ -236,11 +228,9 @@ def exact_median(
     counted = (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
     )
-    running = with_running_sum(counted, keys, [F.col(value)], "__c", "__upto", hot_rows)
-    totals = counted.groupBy(*keys).agg(
-        F.sum("__c").alias("__total"), F.count(F.lit(1)).alias("__values")
-    )
-    placed = join_group_rows(running, totals, keys, "__values", F.col(value), hot_rows)
+    groups = OrderedGroups(counted, keys, [F.col(value)], hot_rows)
+    running = _running_sum(groups, "__c", "__upto")
+    placed = with_group_values(running, keys, {"__total": F.sum("__c")}, hot=groups.hot)
     lower = F.expr("(__total + 1) div 2")
     upper = F.expr("__total div 2 + 1")
     before = F.col("__upto") - F.col("__c")
@@ -250,44 +240,29 @@ def exact_median(
     return placed.where(at_lower | at_upper).groupBy(*keys).agg(middle.alias(output))
 
 
-def join_group_rows(
-    rows: DataFrame,
-    per_group: DataFrame,
+def with_group_values(
+    df: DataFrame,
     keys: Sequence[str],
-    size: str,
-    spread: Column,
+    values: dict[str, Column],
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Join one row per group back to the rows of that group.
+    """Add aggregates of the whole group to each of its rows.
 
-    ``size`` is the column of ``per_group`` with the group's row count. Rows of a
-    group above ``hot_rows`` are spread over several tasks by a hash of ``spread``,
-    and the group's single row is copied to each of them. ``size`` is dropped.
+    Groups go through a window. Those above ``hot_rows`` rows are instead reduced by
+    a partial aggregate whose few result rows are broadcast to them. ``hot`` may
+    bring the groups found earlier.
     """
-    hot = (
-        per_group.where(F.col(size) > hot_rows)
-        .orderBy(F.col(size).desc())
-        .limit(max_hot)
-        .select(*keys, F.least(F.expr(f"`{size}` div {hot_rows} + 1"), F.lit(MAX_SALT)).alias("__parts"))
-    )
-    other = _renamed(per_group, keys)
-    condition = _same_keys(rows, other, keys)
-    if hot.isEmpty():
-        joined = rows.join(other, condition, "inner")
-        return joined.drop(size, *[f"__k_{key}" for key in keys])
-    salted = _join_small(rows, hot, keys).withColumn(
-        "__salt",
-        F.pmod(F.xxhash64(spread), F.coalesce(F.col("__parts"), F.lit(1))).cast("long"),
-    )
-    copies = _join_small(per_group, hot, keys).withColumn(
-        "__slot",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("__parts"), F.lit(1)).cast("long") - 1)),
-    )
-    other = _renamed(copies.drop("__parts"), keys)
-    condition = _same_keys(salted, other, keys) & (salted["__salt"] == other["__slot"])
-    joined = salted.join(other, condition, "inner")
-    return joined.drop(size, "__parts", "__salt", "__slot", *[f"__k_{key}" for key in keys])
+    whole = Window.partitionBy(*keys)
+    windowed = {name: value.over(whole) for name, value in values.items()}
+    found = hot_groups(df, keys, hot_rows) if hot is None else hot
+    if found.isEmpty():
+        return df.withColumns(windowed)
+    marked = _join_small(df, found, keys)
+    small = marked.where(F.col("__n").isNull()).drop("__n")
+    large = marked.where(F.col("__n").isNotNull()).drop("__n")
+    reduced = large.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
+    return small.withColumns(windowed).unionByName(_join_small(large, reduced, keys))
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str | Column], output: str = "ord") -> DataFrame:

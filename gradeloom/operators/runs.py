@@ -13,8 +13,8 @@ from gradeloom.functions.whitespace import word_count
 from gradeloom.operators.ordered import (
     HOT_ROWS,
     exact_median,
-    join_group_rows,
     join_on_keys,
+    with_group_values,
     with_last_known,
 )
 
@@ -209,26 +209,18 @@ def group_advantage(
     scored: DataFrame,
     group: str = "prompt",
     reward: str = "combined_reward",
-    spread: str | None = None,
     epsilon: float = 1e-4,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add each completion's reward relative to its group.
 
     ``(reward - mean) / (population deviation + epsilon)`` over the completions of a
-    prompt. The statistics are a partial aggregate joined back, not a window, so a
-    prompt with very many completions is never gathered in one task. ``spread``
-    names a column that differs between the rows of a group, such as their id.
+    prompt. A prompt with very many completions is never gathered in one task.
     """
-    stats = scored.groupBy(group).agg(
-        F.count(F.lit(1)).alias("__size"),
-        F.avg(reward).alias("group_mean"),
-        F.stddev_pop(reward).alias("group_std"),
-    )
-    salt = F.col(spread) if spread else F.struct(*[F.col(c) for c in scored.columns])
-    joined = join_group_rows(scored, stats, [group], "__size", salt, hot_rows)
+    values = {"group_mean": F.avg(reward), "group_std": F.stddev_pop(reward)}
+    placed = with_group_values(scored, [group], values, hot_rows)
     advantage = (F.col(reward) - F.col("group_mean")) / (F.col("group_std") + F.lit(epsilon))
-    return joined.withColumn("advantage", advantage)
+    return placed.withColumn("advantage", advantage)
 
 
 def latency_summary(

@@ -32,7 +32,7 @@ _FULL_STOPS = "。."
 # Number syntax accepted after normalisation (lower case, no blanks or commas).
 _DECIMAL = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:e[+-]?0*\d{1,18})?|[+-]?inf(?:inity)?"
 _NAN = r"[+-]?nan\d*"
-_FRACTION = r"([+-]?\d+(?:_\d+)*)/(\d+(?:_\d+)*)"
+_FRACTION = r"[+-]?\d+(?:_\d+)*/\d+(?:_\d+)*"
 
 
 def _match(text: Column, pattern: str, position: int = 1) -> Column:
@@ -92,38 +92,37 @@ def _digit_table() -> tuple[str, str]:
     return "".join(wide for wide, _ in digits), "".join(narrow for _, narrow in digits)
 
 
-def parse_number(normalized: ColumnOrName) -> Column:
-    """Double for a decimal or an integer fraction, else null.
-
-    Takes text that :func:`normalize_answer` has produced.
-    """
+def _ascii_digits(text: Column) -> Column:
     wide, narrow = _digit_table()
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, wide, narrow)).otherwise(text)
 
-    def parse(text: Column) -> Column:
-        plain = F.replace(text, F.lit("_"), F.lit(""))
-        decimal = F.regexp_extract_all(plain, F.lit(rf"\A({_DECIMAL})\z"), F.lit(1))
-        ratio = F.try_divide(
-            F.replace(F.regexp_extract(text, _FRACTION, 1), F.lit("_"), F.lit("")).cast("double"),
-            F.replace(F.regexp_extract(text, _FRACTION, 2), F.lit("_"), F.lit("")).cast("double"),
-        )
-        return F.coalesce(
-            F.try_element_at(decimal, F.lit(1)).cast("double"),
-            F.when(plain.rlike(rf"\A{_NAN}\z"), F.lit(float("nan"))),
-            F.when(text.rlike(rf"\A{_FRACTION}\z"), ratio),
-        )
 
-    def ascii_digits(text: Column) -> Column:
-        return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, wide, narrow)).otherwise(text)
+def _parse(text: Column) -> Column:
+    """Number of normalised text with ASCII digits. ``text`` must be cheap to repeat."""
+    plain = F.replace(text, F.lit("_"), F.lit(""))
 
-    # Most answers that are not numbers hold no digit at all.
-    return let(
-        as_column(normalized),
-        lambda text: F.when(
-            text.rlike(r"\p{Nd}|inf|nan"), let(ascii_digits(text), parse)
-        ),
+    def whole(position: int) -> Column:
+        part = F.substring_index(text, "/", position)
+        return F.replace(part, F.lit("_"), F.lit("")).cast("double")
+
+    return (
+        F.when(plain.rlike(rf"\A(?:{_DECIMAL})\z"), plain.cast("double"))
+        .when(
+            F.contains(text, F.lit("/")) & text.rlike(rf"\A{_FRACTION}\z"),
+            F.try_divide(whole(1), whole(-1)),
+        )
+        .when(F.contains(plain, F.lit("nan")) & plain.rlike(rf"\A{_NAN}\z"), F.lit(float("nan")))
     )
 
 
+def parse_number(normalized: ColumnOrName) -> Column:
+    """Double for a decimal or an integer fraction, else null.
+
+    Takes text that :func:`normalize_answer` has produced.
+    """
+    return let(as_column(normalized), lambda text: let(_ascii_digits(text), _parse))
+
+
 def to_number(text: ColumnOrName) -> Column:
     """Number written in ``text``, or null."""
     return parse_number(normalize_answer(text))
@@ -186,14 +185,17 @@ def with_answer_match(
     Works in narrow steps, so every intermediate value is computed once inside
     generated code; prefer it to the expression form on large tables.
     """
-    p, t, pn, tn = (f"__match_{part}" for part in ("p", "t", "pn", "tn"))
-    staged = df.withColumns({p: normalize_answer(predicted), t: normalize_answer(target)})
+    p, t = "__match_p", "__match_t"
+    again = {p: "__again_p", t: "__again_t"}
+    digits = {p: "__digits_p", t: "__digits_t"}
+    numbers = {p: "__number_p", t: "__number_t"}
     differs = F.col(p) != F.col(t)
-    staged = staged.withColumns(
-        {
-            pn: F.when(differs, to_number(p)),
-            tn: F.when(differs, to_number(t)),
-        }
+    staged = (
+        df.withColumns({p: normalize_answer(predicted), t: normalize_answer(target)})
+        .withColumns({again[c]: F.when(differs, normalize_answer(c)) for c in (p, t)})
+        .withColumns({digits[c]: _ascii_digits(F.col(again[c])) for c in (p, t)})
+        .withColumns({numbers[c]: _parse(F.col(digits[c])) for c in (p, t)})
     )
-    close = numbers_close(F.col(pn), F.col(tn), tolerance)
-    return staged.withColumn(output, ~differs | close).drop(p, t, pn, tn)
+    close = numbers_close(F.col(numbers[p]), F.col(numbers[t]), tolerance)
+    helpers = [p, t, *again.values(), *digits.values(), *numbers.values()]
+    return staged.withColumn(output, ~differs | close).drop(*helpers)

@@ -11,8 +11,7 @@ from gradeloom.functions.answers import extract_source_answer
 from gradeloom.functions.whitespace import (
     ColumnOrName,
     as_column,
-    first_line,
-    join_clean_lines,
+    clean_lines,
     let,
     strip,
 )
@@ -33,13 +32,13 @@ def tutor_generation_prompt(question: ColumnOrName) -> Column:
     return F.concat(F.lit(fixed.TUTOR_SYSTEM_PROMPT + "\n\n"), user_prompt(question))
 
 
-def _tutor_sections(stripped: Column, answer: Column) -> Column:
-    empty = stripped == ""
+def _tutor_sections(lines: Column, answer: Column) -> Column:
+    steps = F.when(F.size(lines) > 0, F.array_join(lines, "\n"))
     return F.concat(
         F.lit(fixed.TUTOR_OVERVIEW + fixed.TUTOR_THOUGHT_HEADING),
-        F.when(empty, F.lit(fixed.DEFAULT_THOUGHT)).otherwise(first_line(stripped)),
+        F.coalesce(F.get(lines, 0), F.lit(fixed.DEFAULT_THOUGHT)),
         F.lit("\n\n" + fixed.TUTOR_STEPS_HEADING),
-        F.when(empty, F.lit(fixed.DEFAULT_STEPS)).otherwise(join_clean_lines(stripped)),
+        F.coalesce(steps, F.lit(fixed.DEFAULT_STEPS)),
         F.lit("\n\n" + fixed.TUTOR_ANSWER_HEADING),
         answer,
         F.lit("\n\n" + fixed.TUTOR_SUMMARY),
@@ -54,11 +53,11 @@ def _shown_answer(answer: Column, extracted: Column) -> Column:
 
 def tutor_response(solution: ColumnOrName, answer: ColumnOrName) -> Column:
     """Five-section tutor response built from a worked solution and its answer."""
-    shown = _shown_answer(as_column(answer), extract_source_answer(solution))
-    body = F.coalesce(strip(solution), F.lit(""))
+    text = F.coalesce(as_column(solution), F.lit(""))
+    shown = _shown_answer(as_column(answer), extract_source_answer(text))
     return let(
-        F.struct(body.alias("body"), shown.alias("shown")),
-        lambda parts: _tutor_sections(parts["body"], parts["shown"]),
+        F.struct(clean_lines(text).alias("lines"), shown.alias("shown")),
+        lambda parts: _tutor_sections(parts["lines"], parts["shown"]),
     )
 
 
@@ -66,16 +65,17 @@ def with_tutor_response(
     df: DataFrame, solution: ColumnOrName, answer: ColumnOrName, output: str
 ) -> DataFrame:
     """Add :func:`tutor_response` in narrow steps that stay in generated code."""
-    body, shown = "__tutor_body", "__tutor_shown"
+    lines, shown = "__tutor_lines", "__tutor_shown"
+    text = F.coalesce(as_column(solution), F.lit(""))
     return (
         df.withColumns(
             {
-                body: F.coalesce(strip(solution), F.lit("")),
-                shown: _shown_answer(as_column(answer), extract_source_answer(solution)),
+                lines: clean_lines(text),
+                shown: _shown_answer(as_column(answer), extract_source_answer(text)),
             }
         )
-        .withColumn(output, _tutor_sections(F.col(body), F.col(shown)))
-        .drop(body, shown)
+        .withColumn(output, _tutor_sections(F.col(lines), F.col(shown)))
+        .drop(lines, shown)
     )
 
 

@@ -22,10 +22,12 @@ INLINE_BLANKS = (
 )
 BLANKS = LINE_ENDS + INLINE_BLANKS
 
-# The same sets as regular-expression character classes.
-_LINE_END = f"[{LINE_ENDS}]"
-_NOT_LINE_END = f"[^{LINE_ENDS}]"
-BLANK_CLASS = f"[{BLANKS}]"
+# The same sets as regular-expression character classes. The rare wide blanks stand
+# behind one range test, so that ordinary letters are ruled out in two steps.
+_WIDE_BLANK = r"[ -　&&[  -     　]]"
+BLANK_CLASS = rf"[\t-\r\x1c-\x20\x85\xa0{_WIDE_BLANK}]"
+_LINE_END = r"[\n-\r\x1c-\x1e\x85  ]"
+_NOT_LINE_END = r"[^\n-\r\x1c-\x1e\x85  ]"
 
 
 def as_column(value: ColumnOrName) -> Column:
@@ -59,31 +61,12 @@ def last_line(stripped: ColumnOrName) -> Column:
     return strip(F.regexp_extract(tail, rf"(?<!{_NOT_LINE_END}){_NOT_LINE_END}*+\z", 0))
 
 
-def join_clean_lines(stripped: ColumnOrName) -> Column:
-    """Strip every line, drop blank ones and join the rest by a newline.
-
-    Takes stripped text. Inside it, a run of whitespace that holds a line end is
-    exactly one boundary between two clean lines.
-    """
-    boundary = rf"(?<!{BLANK_CLASS})[{INLINE_BLANKS}]*+{_LINE_END}{BLANK_CLASS}*+"
-    return F.regexp_replace(as_column(stripped), boundary, "\n")
-
-
 def clean_lines(text: ColumnOrName) -> Column:
     """The stripped, non-blank lines as an array."""
-    return let(
-        strip(text),
-        lambda body: F.when(body == "", F.array().cast("array<string>")).otherwise(
-            F.split(join_clean_lines(body), "\n")
-        ),
-    )
+    lines = F.transform(F.split(as_column(text), _LINE_END), strip)
+    return F.filter(lines, lambda line: line != "")
 
 
 def word_count(text: ColumnOrName) -> Column:
     """Number of whitespace-separated words."""
-    return let(
-        strip(text),
-        lambda body: F.when(body == "", F.lit(0)).otherwise(
-            F.size(F.split(body, f"{BLANK_CLASS}+"))
-        ),
-    )
+    return F.size(F.array_remove(F.split(as_column(text), f"{BLANK_CLASS}+"), ""))

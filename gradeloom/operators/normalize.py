@@ -189,28 +189,26 @@ def normalize_rewards(
         *_carried(staged, ord_col),
     )
     single = (F.col("prompt") != "") & (F.col("response") != "") & F.col("given_score").isNotNull()
-    shaped = picked.withColumn(
-        "shape", F.coalesce(F.col("shape"), F.when(single, F.lit("single")))
-    ).where(F.col("shape").isNotNull())
+    shaped = picked.withColumn("shape", F.coalesce(F.col("shape"), F.when(single, F.lit("single"))))
 
-    def by_shape(pair: Column | None, listed: Column | None, one: Column) -> Column:
+    def by_shape(pair: str | None, listed: str | None, one: Column) -> Column:
         value = F.when(F.col("shape") == "single", one)
-        if listed is not None:
-            value = value.when(F.col("shape") == "list", listed)
-        if pair is not None:
-            value = value.when(F.col("shape") == "pair", pair)
+        if listed is not None and item is not None:
+            value = value.when(F.col("shape") == "list", F.col(listed))
+        if pair is not None and len(pair_fields) == 2:
+            value = value.when(F.col("shape") == "pair", F.col(pair))
         return value
 
-    def _pair(name: str) -> Column | None:
-        return F.col(name) if len(pair_fields) == 2 else None
-
-    return shaped.select(
-        "prompt",
-        by_shape(_pair("s_chosen"), F.col("best.text") if item else None, F.col("response")).alias("chosen"),
-        by_shape(_pair("s_rejected"), F.col("worst.text") if item else None, F.lit("")).alias("rejected"),
-        "answer",
-        by_shape(None, F.col("best.score") if item else None, F.col("given_score")).alias("score_chosen"),
-        by_shape(None, F.col("worst.score") if item else None, F.lit(None).cast("double")).alias("score_rejected"),
-        "metadata",
-        *_carried(staged, ord_col),
+    record = F.struct(
+        F.col("prompt"),
+        by_shape("s_chosen", "best.text", F.col("response")).alias("chosen"),
+        by_shape("s_rejected", "worst.text", F.lit("")).alias("rejected"),
+        F.col("answer"),
+        by_shape(None, "best.score", F.col("given_score")).alias("score_chosen"),
+        by_shape(None, "worst.score", F.lit(None).cast("double")).alias("score_rejected"),
+        F.col("metadata"),
+        *[F.col(name) for name in _carried(staged, ord_col)],
     )
+    # Expanding to no row drops what has no shape. A filter would be moved below the
+    # steps above and work out the shape a second time.
+    return shaped.select(F.inline(F.when(F.col("shape").isNotNull(), F.array(record))))

@@ -12,7 +12,7 @@ from gradeloom.fixed import REQUIRED_SECTIONS, SUMMARY_METRICS
 from gradeloom.functions import answers, prompts, rewards, whitespace
 from gradeloom.operators import evaluation, exports, limits, normalize, ordered, pairs, runs, scoring, tables
 from gradeloom.plans import inputs
-from gradeloom.plans.inputs import table
+from gradeloom.plans.inputs import table, texts
 from gradeloom.runtime import scratch_path
 from gradeloom.sources import datasets, jsonl, reports
 from gradeloom.streaming import metrics_log, scoring as stream_scoring
@@ -39,7 +39,7 @@ def extract_final_answer(spark, sf_dir):
 
 @registered
 def extract_final_answer_documents(spark, sf_dir):
-    df = table(spark, sf_dir, "documents")
+    df = texts(spark, sf_dir, "documents")
     return df.select("doc_id", answers.extract_final_answer("text").alias("predicted"))
 
 
@@ -51,7 +51,7 @@ def extract_source_answer(spark, sf_dir):
 
 @registered
 def extract_source_answer_pages(spark, sf_dir):
-    df = table(spark, sf_dir, "pages")
+    df = texts(spark, sf_dir, "pages")
     return df.select("page_id", answers.extract_source_answer("html").alias("answer"))
 
 
@@ -63,13 +63,14 @@ def normalize_answer(spark, sf_dir):
 
 @registered
 def normalize_answer_documents(spark, sf_dir):
-    df = table(spark, sf_dir, "documents")
+    df = texts(spark, sf_dir, "documents")
     return df.select("doc_id", answers.normalize_answer("text").alias("normalized"))
 
 
 @registered
 def to_number(spark, sf_dir):
-    df = inputs.answer_forms(spark, sf_dir).select(*_LINE_KEY, answers.to_number("form").alias("n"))
+    df = inputs.answer_forms(spark, sf_dir)
+    df = df.select(*_LINE_KEY, answers.to_number("form").alias("n"))
     number = F.col("n")
     finite = F.abs(number) < float("inf")
     return df.select(
@@ -193,7 +194,7 @@ def generated_completions(spark, sf_dir):
     def factory():
         return lambda texts: [f"思路：a\n答案：{len(text)}" for text in texts]
 
-    df = table(spark, sf_dir, "documents").select(
+    df = texts(spark, sf_dir, "documents").select(
         "doc_id", F.col("source").alias("question"), prompts.rl_prompt("text").alias("prompt")
     )
     made = scoring.generate_completions(df, factory)
@@ -272,7 +273,7 @@ def eval_summary_total(spark, sf_dir):
 @registered
 def join_predictions(spark, sf_dir):
     """Predictions and references from two tables, matched by document."""
-    predictions = table(spark, sf_dir, "documents").select(
+    predictions = texts(spark, sf_dir, "documents").select(
         "doc_id", "source", F.concat("text", F.lit("\n答案："), F.col("n_chars") % 2).alias("prediction")
     )
     references = table(spark, sf_dir, "labels").select(
@@ -288,7 +289,7 @@ def join_predictions(spark, sf_dir):
 
 @registered
 def clean_lines(spark, sf_dir):
-    df = table(spark, sf_dir, "documents").select(
+    df = texts(spark, sf_dir, "documents").select(
         "doc_id", whitespace.clean_lines("text").alias("lines")
     )
     return df.select("doc_id", F.size("lines").alias("n_lines"), F.array_join("lines", "\n").alias("joined"))
@@ -296,13 +297,13 @@ def clean_lines(spark, sf_dir):
 
 @registered
 def word_count(spark, sf_dir):
-    df = table(spark, sf_dir, "documents")
+    df = texts(spark, sf_dir, "documents")
     return df.select("doc_id", whitespace.word_count("text").alias("words"))
 
 
 @registered
 def tutor_response(spark, sf_dir):
-    df = table(spark, sf_dir, "documents")
+    df = texts(spark, sf_dir, "documents")
     answer = F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(F.lit(""))
     return prompts.with_tutor_response(
         df.select("doc_id", "text", answer.alias("answer")), "text", "answer", "response"
@@ -311,7 +312,7 @@ def tutor_response(spark, sf_dir):
 
 @registered
 def rl_prompts(spark, sf_dir):
-    df = table(spark, sf_dir, "documents").select(
+    df = texts(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"),
         F.lit(" 　").alias("question"),
         F.col("text").alias("problem"),
@@ -325,7 +326,7 @@ def rl_prompts(spark, sf_dir):
 
 @registered
 def user_prompts(spark, sf_dir):
-    df = table(spark, sf_dir, "documents")
+    df = texts(spark, sf_dir, "documents")
     return df.select(
         "doc_id",
         prompts.user_prompt("text").alias("prompt"),
@@ -417,7 +418,7 @@ def completions_array_pair(spark, sf_dir):
         f"named_struct('text', {text}, 'rating', {score})" for text, score in inputs.PREFERENCE_ITEMS
     )
     df = inputs.select_all(
-        table(spark, sf_dir, "events"),
+        texts(spark, sf_dir, "events"),
         {"ord": "event_id", "prompt": "event_type", "completions": f"array({items})"},
     )
     return _flat_records(normalize.normalize_rewards(df, "lists")).drop("answer", "source")
@@ -445,7 +446,7 @@ def reward_mode_switch(spark, sf_dir):
 @registered
 def reward_complete_pairs(spark, sf_dir):
     """Only finished pairs: kept as they are."""
-    df = table(spark, sf_dir, "documents").select(
+    df = texts(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"),
         F.col("source").alias("query"),
         F.concat(F.lit(" "), "text").alias("chosen"),
@@ -595,7 +596,7 @@ def registry_upsert(spark, sf_dir):
 @registered
 def unified_sources(spark, sf_dir):
     talks = inputs.question_pairs(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"), F.col("source").alias("instruction"), F.col("text").alias("output"), F.col("lang").alias("label")
     )
     df = tables.unify_sources({"talks": talks, "docs": docs})
@@ -705,7 +706,7 @@ def export_preference(spark, sf_dir):
 
 @registered
 def export_instruction(spark, sf_dir):
-    df = table(spark, sf_dir, "documents").select(
+    df = texts(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"), F.col("text").alias("question"), F.col("lang").alias("answer")
     )
     out = _exported(exports.instruction_table(normalize.normalize_rl(df, "docs")))

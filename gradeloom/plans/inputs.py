@@ -8,13 +8,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeloom.sources.datasets import spread_rows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Columns that tell the rows of a table apart.
+_ROW_KEYS = {
+    "conversations": ("conv_id", "turn"),
+    "documents": ("doc_id",),
+    "events": ("event_id",),
+    "lineitem": ("l_orderkey", "l_linenumber"),
+    "pages": ("page_id",),
+}
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose rows are costly to work on, spread over all cores."""
+    return spread_rows(table(spark, sf_dir, name).select(*(columns or "*")), *_ROW_KEYS[name])
+
+
 _QTY = "CAST(CAST(l_quantity AS INT) AS STRING)"
 
+LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+
 # Completions with known answers: one per order line, in six styles.
 COMPLETIONS = {
     "l_orderkey": "l_orderkey",
@@ -102,11 +121,13 @@ def select_all(df: DataFrame, expressions: dict[str, str], *keep: str) -> DataFr
 
 
 def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_all(table(spark, sf_dir, "lineitem"), COMPLETIONS)
+    lines = texts(spark, sf_dir, "lineitem", *LINE_COLUMNS)
+    return select_all(lines, COMPLETIONS)
 
 
 def answer_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_all(table(spark, sf_dir, "lineitem"), ANSWER_FORMS)
+    lines = texts(spark, sf_dir, "lineitem", *LINE_COLUMNS)
+    return select_all(lines, ANSWER_FORMS)
 
 
 def scored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,9 +146,8 @@ def preference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listed = f"""CASE WHEN event_type = 'view' THEN array({items})
         WHEN event_type = 'signup' THEN slice(array({items}), 3, 1) END"""
-    return select_all(
-        table(spark, sf_dir, "events"), {**PREFERENCE_FIELDS, "completions": listed}
-    )
+    events = texts(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    return select_all(events, {**PREFERENCE_FIELDS, "completions": listed})
 
 
 def question_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +171,7 @@ def question_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log: documents as replies, the event of the same number as latency."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("value").alias("latency_sec")
     )

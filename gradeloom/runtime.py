@@ -10,13 +10,29 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+# Settings every session of this package should have. The Java VM leaves methods
+# above 8000 bytes uncompiled, so a stage that would need one is better split.
+SESSION_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Give a running session the settings this package is tuned for."""
+    for key, value in SESSION_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(name: str = "gradeloom", cores: int | str = "*", **conf: str) -> SparkSession:
     """Session for tests and benchmarks on one machine."""
     settings = {
+        **SESSION_SETTINGS,
         "spark.sql.shuffle.partitions": "8",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
         **{key.replace("__", "."): value for key, value in conf.items()},

@@ -14,6 +14,9 @@ from gradeloom.runtime import path_exists
 from gradeloom.sources.jsonl import load_if_complete, read_jsonl
 
 _SPLIT_COLUMN = "split"
+# Scans of more tasks than this are never spread: at the usual split size the rows
+# moved stay below 8 GB.
+_MAX_SPREAD_TASKS = 64
 
 
 def _is_path(name: str) -> bool:
@@ -61,6 +64,18 @@ def load_dataset(
     return table if start == 0 and stop is None else slice_rows(table, start, stop, ord_col)
 
 
+def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a small scan over all cores; a larger table is returned as it is.
+
+    A file with few row groups is read by few tasks, and costly text work would then
+    leave most cores idle. Meant for plain scans. ``keys`` with many values make the
+    move cheaper than dealing rows out in turn.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df.rdd.getNumPartitions()
+    return df.repartition(cores, *keys) if tasks < min(cores, _MAX_SPREAD_TASKS + 1) else df
+
+
 def stream_dataset(
     spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet", **options: str
 ) -> DataFrame:

@@ -27,7 +27,9 @@ def _text(df: DataFrame, name: str) -> Column:
 
 
 def _metadata(df: DataFrame) -> Column:
-    return F.col("metadata") if "metadata" in df.columns else F.struct().alias("metadata")
+    if "metadata" in df.columns:
+        return F.col("metadata")
+    return F.create_map().cast("map<string,string>").alias("metadata")
 
 
 def _required(df: DataFrame, *names: str) -> None:

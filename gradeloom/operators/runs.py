@@ -153,7 +153,8 @@ def float_text(value: Column) -> Column:
     scientific = F.concat(
         mantissa,
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exponent).cast("string"),
     )
     return (
         F.when(F.isnan(value), F.lit("nan"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -54,16 +55,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without the setting; it then gets a fresh folder.
     """
-    configured = spark.sparkContext.getConf().get(_CHECKPOINT_DIR) or spark.conf.get(
-        _CHECKPOINT_DIR, None
-    )
+    configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
     if not is_local(spark):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
-    created = tempfile.mkdtemp(prefix="gradeloom-")
-    spark.conf.set(_CHECKPOINT_DIR, created)
-    return created
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="gradeloom-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

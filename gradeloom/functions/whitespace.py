@@ -58,7 +58,7 @@ def first_line(stripped: ColumnOrName) -> Column:
 def last_line(stripped: ColumnOrName) -> Column:
     """Last line of text that has already been stripped."""
     tail = F.substring_index(as_column(stripped), "\n", -1)
-    return strip(F.regexp_extract(tail, rf"(?<!{_NOT_LINE_END}){_NOT_LINE_END}*+\z", 0))
+    return strip(F.regexp_extract(tail, rf"(?s)\A(?:.*{_LINE_END})?({_NOT_LINE_END}*)\z", 1))
 
 
 def clean_lines(text: ColumnOrName) -> Column:

@@ -230,7 +230,8 @@ def exact_median(
     )
     groups = OrderedGroups(counted, keys, [F.col(value)], hot_rows)
     running = _running_sum(groups, "__c", "__upto")
-    placed = with_group_values(running, keys, {"__total": F.sum("__c")}, hot=groups.hot)
+    hot = groups.hot if groups.is_cut else None
+    placed = _attach(running, keys, {"__total": F.sum("__c")}, hot)
     lower = F.expr("(__total + 1) div 2")
     upper = F.expr("__total div 2 + 1")
     before = F.col("__upto") - F.col("__c")
@@ -241,24 +242,25 @@ def exact_median(
 
 
 def with_group_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: dict[str, Column],
-    hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], values: dict[str, Column], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add aggregates of the whole group to each of its rows.
 
     Groups go through a window. Those above ``hot_rows`` rows are instead reduced by
-    a partial aggregate whose few result rows are broadcast to them. ``hot`` may
-    bring the groups found earlier.
+    a partial aggregate whose few result rows are broadcast to them.
     """
+    hot = hot_groups(df, keys, hot_rows)
+    return _attach(df, keys, values, None if hot.isEmpty() else hot)
+
+
+def _attach(
+    df: DataFrame, keys: Sequence[str], values: dict[str, Column], hot: DataFrame | None
+) -> DataFrame:
     whole = Window.partitionBy(*keys)
     windowed = {name: value.over(whole) for name, value in values.items()}
-    found = hot_groups(df, keys, hot_rows) if hot is None else hot
-    if found.isEmpty():
+    if hot is None:
         return df.withColumns(windowed)
-    marked = _join_small(df, found, keys)
+    marked = _join_small(df, hot, keys)
     small = marked.where(F.col("__n").isNull()).drop("__n")
     large = marked.where(F.col("__n").isNotNull()).drop("__n")
     reduced = large.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])

@@ -20,19 +20,28 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path).where(~is_blank(_LINE))
 
 
-def _is_object(line: Column) -> Column:
-    """True for a line that is well-formed JSON and an object."""
-    parsed = F.try_parse_json(line)
-    return F.coalesce(
-        F.startswith(strip(line), F.lit("{")) & parsed.isNotNull(), F.lit(False)
-    )
+def _as_list(line: Column) -> Column:
+    # Parsers stop after the first value of a line. Inside brackets, whatever else
+    # stands on the line becomes either an error or a second element.
+    return F.concat(F.lit("["), line, F.lit("]"))
+
+
+def _starts_object(line: Column) -> Column:
+    return F.startswith(strip(line), F.lit("{"))
 
 
-def _checked(line: Column) -> Column:
-    message = F.concat(
-        F.lit("not a JSON object in "), F.input_file_name(), F.lit(": "), F.substring(line, 1, 200)
+def _reject(line: Column) -> Column:
+    return F.raise_error(
+        F.concat(
+            F.lit("not a JSON object in "), F.input_file_name(), F.lit(": "), F.substring(line, 1, 200)
+        )
     )
-    return F.when(_is_object(line), line).otherwise(F.raise_error(message))
+
+
+def _is_object(line: Column) -> Column:
+    """True for a line that is one well-formed JSON object and nothing else."""
+    listed = F.try_variant_get(F.try_parse_json(_as_list(line)), "$", "array<variant>")
+    return F.coalesce(_starts_object(line) & (F.size(listed) == 1), F.lit(False))
 
 
 def read_jsonl(
@@ -47,8 +56,12 @@ def read_jsonl(
     """
     if not strict:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    parsed = F.from_json(_checked(F.col(_LINE)), schema, {"mode": "FAILFAST"})
-    return _lines(spark, path).select(parsed.alias("row")).select("row.*")
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    line = F.col(_LINE)
+    listed = F.from_json(_as_list(line), T.ArrayType(fields), {"mode": "FAILFAST"})
+    one = _starts_object(line) & (F.size("listed") == 1)
+    row = F.when(one, F.get("listed", 0)).otherwise(_reject(line))
+    return _lines(spark, path).select(_LINE, listed.alias("listed")).select(row.alias("row")).select("row.*")
 
 
 def read_ragged_jsonl(
@@ -60,19 +73,24 @@ def read_ragged_jsonl(
     string there, so a number is not mistaken for text. The object's own field names
     go along and are what the normalisers record as the row's keys.
     """
-    parsed = _lines(spark, path).select(
-        _checked(F.col(_LINE)).alias(_LINE)
-    ).select(F.parse_json(_LINE).alias("doc"), F.json_object_keys(_LINE).alias(RAW_KEYS))
+    line = F.col(_LINE)
+    listed = F.variant_get("doc", "$", "array<variant>")
+    one = _starts_object(line) & (F.size(listed) == 1)
+    parsed = (
+        _lines(spark, path)
+        .select(_LINE, F.parse_json(_as_list(line)).alias("doc"))
+        .select("doc", F.when(one, F.json_object_keys(line)).otherwise(_reject(line)).alias(RAW_KEYS))
+    )
 
     def text(name: str) -> Column:
-        member = F.try_variant_get("doc", f"$['{name}']", "variant")
+        member = F.try_variant_get("doc", f"$[0]['{name}']", "variant")
         return F.when(
             F.schema_of_variant(member) == "STRING",
-            F.try_variant_get("doc", f"$['{name}']", "string"),
+            F.try_variant_get("doc", f"$[0]['{name}']", "string"),
         ).alias(name)
 
     def number(name: str) -> Column:
-        return F.try_variant_get("doc", f"$['{name}']", "double").alias(name)
+        return F.try_variant_get("doc", f"$[0]['{name}']", "double").alias(name)
 
     return parsed.select(
         *[text(name) for name in text_fields], *[number(name) for name in number_fields], RAW_KEYS

@@ -48,13 +48,6 @@ def _join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFra
     return joined.drop(*[f"__k_{key}" for key in keys])
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be null."""
-    other = _renamed(right, keys)
-    joined = left.join(other, _same_keys(left, other, keys), "left")
-    return joined.drop(*[f"__k_{key}" for key in keys])
-
-
 def hot_groups(
     df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
 ) -> DataFrame:

@@ -13,7 +13,6 @@ from gradeloom.functions.whitespace import word_count
 from gradeloom.operators.ordered import (
     HOT_ROWS,
     exact_median,
-    join_on_keys,
     with_group_values,
     with_last_known,
 )
@@ -246,8 +245,12 @@ def latency_summary(
         F.avg("__words").alias("__avg_words"),
     )
     medians = exact_median(words.select(*keys, "__latency"), keys, "__latency", "p50_latency_sec", hot_rows)
+    # Both tables have one row per group; stacking them needs no join and keeps null keys.
+    stacked = means.unionByName(medians, allowMissingColumns=True).groupBy(*keys)
+    measures = ("repeats", "avg_latency_sec", "p50_latency_sec", "__avg_words")
+    merged = stacked.agg(*[F.max(name).alias(name) for name in measures])
     average = F.col("avg_latency_sec")
-    return join_on_keys(means, medians, keys).select(
+    return merged.select(
         *by,
         "repeats",
         "avg_latency_sec",

@@ -724,9 +724,10 @@ def json_codec(spark, sf_dir):
 @registered
 def stream_scores(spark, sf_dir):
     """Completions that arrive as a stream, scored into a table."""
-    lines = datasets.stream_dataset(
-        spark, sf_dir, table(spark, sf_dir, "lineitem").schema, pathGlobFilter="lineitem.parquet"
-    )
+    known = table(spark, sf_dir, "lineitem")
+    lines = datasets.stream_dataset(spark, sf_dir, known.schema, pathGlobFilter="lineitem.parquet")
+    if datasets.is_small_scan(known):
+        lines = lines.repartition(spark.sparkContext.defaultParallelism, *_LINE_KEY)
     arriving = inputs.select_all(lines, inputs.COMPLETIONS)
     target = scratch_path(spark, "scores")
     query = stream_scoring.score_stream(

@@ -64,16 +64,21 @@ def load_dataset(
     return table if start == 0 and stop is None else slice_rows(table, start, stop, ord_col)
 
 
+def is_small_scan(df: DataFrame) -> bool:
+    """True when a plain scan has fewer tasks than cores and is of bounded size."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.rdd.getNumPartitions() < min(cores, _MAX_SPREAD_TASKS + 1)
+
+
 def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a small scan over all cores; a larger table is returned as it is.
 
     A file with few row groups is read by few tasks, and costly text work would then
-    leave most cores idle. Meant for plain scans. ``keys`` with many values make the
-    move cheaper than dealing rows out in turn.
+    leave most cores idle. ``keys`` with many values make the move cheaper than
+    dealing rows out in turn.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df.rdd.getNumPartitions()
-    return df.repartition(cores, *keys) if tasks < min(cores, _MAX_SPREAD_TASKS + 1) else df
+    return df.repartition(cores, *keys) if is_small_scan(df) else df
 
 
 def stream_dataset(

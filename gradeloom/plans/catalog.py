@@ -728,7 +728,7 @@ def stream_scores(spark, sf_dir):
     lines = datasets.stream_dataset(spark, sf_dir, known.schema, pathGlobFilter="lineitem.parquet")
     if datasets.is_small_scan(known):
         lines = lines.repartition(spark.sparkContext.defaultParallelism, *_LINE_KEY)
-    arriving = inputs.select_all(lines, inputs.COMPLETIONS)
+    arriving = inputs.select_all(inputs.select_all(lines, inputs.LINES), inputs.COMPLETIONS)
     target = scratch_path(spark, "scores")
     query = stream_scoring.score_stream(
         arriving, target, scratch_path(spark, "progress"), once=True, answer="gold"

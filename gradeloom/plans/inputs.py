@@ -30,8 +30,16 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spread_rows(table(spark, sf_dir, name).select(*(columns or "*")), *_ROW_KEYS[name])
 
 
-_QTY = "CAST(CAST(l_quantity AS INT) AS STRING)"
 
+# Order lines with their whole-number quantity as number and as text.
+LINES = {
+    "l_orderkey": "l_orderkey",
+    "l_linenumber": "l_linenumber",
+    "l_partkey": "l_partkey",
+    "l_returnflag": "l_returnflag",
+    "number": "CAST(l_quantity AS INT)",
+    "qty": "CAST(CAST(l_quantity AS INT) AS STRING)",
+}
 LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
 
 # Completions with known answers: one per order line, in six styles.
@@ -40,13 +48,13 @@ COMPLETIONS = {
     "l_linenumber": "l_linenumber",
     "l_returnflag": "l_returnflag",
     "prompt": "CONCAT('p', CAST(l_partkey AS STRING))",
-    "gold": _QTY,
-    "response": f"""CASE CAST(l_orderkey % 6 AS INT)
-        WHEN 0 THEN CONCAT('思路：a', chr(10), '步骤：b', chr(10), '答案：', {_QTY})
-        WHEN 1 THEN CONCAT('x ', chr(92), 'boxed{{', CAST(CAST(l_quantity AS INT) + CAST(l_linenumber AS INT) % 2 AS STRING), '}}')
-        WHEN 2 THEN CONCAT('Final answer: ', CAST(2 * CAST(l_quantity AS INT) AS STRING), '/2')
-        WHEN 3 THEN CONCAT('so we get', chr(10), {_QTY}, '.')
-        WHEN 4 THEN CONCAT('答案：', chr(10), {_QTY}, '.0')
+    "gold": "qty",
+    "response": """CASE CAST(l_orderkey % 6 AS INT)
+        WHEN 0 THEN CONCAT('思路：a', chr(10), '步骤：b', chr(10), '答案：', qty)
+        WHEN 1 THEN CONCAT('x ', chr(92), 'boxed{', CAST(number + l_linenumber % 2 AS STRING), '}')
+        WHEN 2 THEN CONCAT('Final answer: ', CAST(2 * number AS STRING), '/2')
+        WHEN 3 THEN CONCAT('so we get', chr(10), qty, '.')
+        WHEN 4 THEN CONCAT('答案：', chr(10), qty, '.0')
         ELSE '' END""",
 }
 
@@ -54,22 +62,22 @@ COMPLETIONS = {
 ANSWER_FORMS = {
     "l_orderkey": "l_orderkey",
     "l_linenumber": "l_linenumber",
-    "form": f"""CASE CAST(l_orderkey % 12 AS INT)
-        WHEN 0 THEN CONCAT('$', {_QTY}, '$')
-        WHEN 1 THEN CONCAT(' ', {_QTY}, ',000 ')
-        WHEN 2 THEN CONCAT(chr(92), '(', {_QTY}, '/4', chr(92), ')')
-        WHEN 3 THEN CONCAT('−', {_QTY}, '．5')
-        WHEN 4 THEN CONCAT({_QTY}, 'E1。')
-        WHEN 5 THEN CONCAT({_QTY}, 'd')
-        WHEN 6 THEN CONCAT({_QTY}, '/0')
-        WHEN 7 THEN CONCAT('1_', {_QTY})
-        WHEN 8 THEN CONCAT('　', translate({_QTY}, '0123456789', '０１２３４５６７８９'))
+    "form": """CASE CAST(l_orderkey % 12 AS INT)
+        WHEN 0 THEN CONCAT('$', qty, '$')
+        WHEN 1 THEN CONCAT(' ', qty, ',000 ')
+        WHEN 2 THEN CONCAT(chr(92), '(', qty, '/4', chr(92), ')')
+        WHEN 3 THEN CONCAT('−', qty, '．5')
+        WHEN 4 THEN CONCAT(qty, 'E1。')
+        WHEN 5 THEN CONCAT(qty, 'd')
+        WHEN 6 THEN CONCAT(qty, '/0')
+        WHEN 7 THEN CONCAT('1_', qty)
+        WHEN 8 THEN CONCAT('　', translate(qty, '0123456789', '０１２３４５６７８９'))
         WHEN 9 THEN CASE WHEN l_linenumber % 2 = 0 THEN '-Infinity' ELSE 'NaN' END
-        WHEN 10 THEN CONCAT({_QTY}, '　.', ' ')
-        ELSE CONCAT('.', {_QTY}) END""",
-    "target": f"""CASE WHEN l_linenumber % 3 = 0 THEN CONCAT({_QTY}, '.0')
-        WHEN l_linenumber % 3 = 1 THEN CONCAT({_QTY}, '/4')
-        ELSE CONCAT('−', {_QTY}, '.5000001') END""",
+        WHEN 10 THEN CONCAT(qty, '　.', ' ')
+        ELSE CONCAT('.', qty) END""",
+    "target": """CASE WHEN l_linenumber % 3 = 0 THEN CONCAT(qty, '.0')
+        WHEN l_linenumber % 3 = 1 THEN CONCAT(qty, '/4')
+        ELSE CONCAT('−', qty, '.5000001') END""",
 }
 
 # Scored responses: equal scores are common, some are missing.
@@ -122,12 +130,12 @@ def select_all(df: DataFrame, expressions: dict[str, str], *keep: str) -> DataFr
 
 def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = texts(spark, sf_dir, "lineitem", *LINE_COLUMNS)
-    return select_all(lines, COMPLETIONS)
+    return select_all(select_all(lines, LINES), COMPLETIONS)
 
 
 def answer_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = texts(spark, sf_dir, "lineitem", *LINE_COLUMNS)
-    return select_all(lines, ANSWER_FORMS)
+    return select_all(select_all(lines, LINES), ANSWER_FORMS)
 
 
 def scored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

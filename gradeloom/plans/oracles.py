@@ -111,8 +111,9 @@ def derived(source: str, expressions: dict[str, str], *keep: str) -> str:
     return f"(SELECT {', '.join(columns)} FROM {source})"
 
 
-COMPLETIONS = derived("lineitem", inputs.COMPLETIONS)
-FORMS = derived("lineitem", inputs.ANSWER_FORMS)
+LINES = derived("lineitem", inputs.LINES)
+COMPLETIONS = derived(LINES, inputs.COMPLETIONS)
+FORMS = derived(LINES, inputs.ANSWER_FORMS)
 SCORED = derived("events", inputs.SCORED_RESPONSES)
 LOG = derived("events", inputs.METRICS_LOG)
 TALKS = """(SELECT conv_id * 100000 + turn AS ord, text AS question, next_text AS solution

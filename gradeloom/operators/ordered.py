@@ -88,7 +88,9 @@ def _range_of(key: Column) -> Column:
 class OrderedGroups:
     """Rows of a table with each group cut into consecutive, task-sized ranges.
 
-    ``order`` must be unique within a group; all its columns sort ascending.
+    ``order`` must be unique within a group; all its columns sort ascending. The
+    input is read several times, so keys and order must be stored values or follow
+    from them.
     """
 
     def __init__(

@@ -41,7 +41,8 @@ def scorer_udf(factory: Callable[[], Scorer | BatchScorer]) -> Callable[..., Col
     """Vectorised function ``(prompt, response) -> double`` around a user's model.
 
     ``factory`` runs once per task, on the executor, so the model is loaded there
-    and never sent over. A ``score_batch`` method gets whole Arrow batches.
+    and never sent over. A ``score_batch`` method gets whole Arrow batches. Marked as
+    not repeatable, which keeps later filters from calling the model twice per row.
     """
 
     @F.pandas_udf("double")
@@ -56,7 +57,7 @@ def scorer_udf(factory: Callable[[], Scorer | BatchScorer]) -> Callable[..., Col
                 raise ValueError("the scorer must return one value per response")
             yield pd.Series(values, dtype="float64")
 
-    return model_score
+    return model_score.asNondeterministic()
 
 
 def chat_template_udf(factory: Callable[[], ChatTemplate]) -> Callable[..., Column]:
@@ -72,7 +73,7 @@ def chat_template_udf(factory: Callable[[], ChatTemplate]) -> Callable[..., Colu
                 )
             )
 
-    return render
+    return render.asNondeterministic()
 
 
 def generate_completions(
@@ -84,19 +85,19 @@ def generate_completions(
     """Add the completion a user's model gives for each prompt.
 
     ``factory`` runs once per task and returns a function from a list of prompts to
-    a list of completions.
+    a list of completions. Only the prompts are handed to Python.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def complete(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         generate = factory()
-        for batch in batches:
-            completions = generate(batch[prompt].tolist())
-            if len(completions) != len(batch):
+        for texts in batches:
+            completions = generate(texts.tolist())
+            if len(completions) != len(texts):
                 raise ValueError("the model must return one completion per prompt")
-            yield batch.assign(**{output: completions})
+            yield pd.Series(completions, dtype="object")
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn(output, complete.asNondeterministic()(prompt))
 
 
 def score_completions(

@@ -564,7 +564,7 @@ def eval_sample(spark, sf_dir):
 
 @registered
 def split_slice(spark, sf_dir):
-    df = datasets.load_dataset(spark, sf_dir, "events[1000:3500]", ord_col="event_id")
+    df = datasets.load_dataset(spark, sf_dir, "events[200:700]", ord_col="event_id")
     return df.select("event_id", "event_type", "value")
 
 

@@ -335,7 +335,7 @@ ORACLES: dict[str, str] = {
         FROM lineitem""",
     "prefix_limit": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 4000",
     "eval_sample": "SELECT doc_id AS ord, text FROM documents ORDER BY doc_id LIMIT 200",
-    "split_slice": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 2500 OFFSET 1000",
+    "split_slice": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 500 OFFSET 200",
     "calibration_sample": f"SELECT {_RL_DOCS} AS prompt FROM documents ORDER BY doc_id LIMIT 128",
     "input_ordinal": """SELECT doc_id, lang, row_number() OVER (ORDER BY lang DESC, doc_id) - 1 AS ord FROM documents""",
     "registry_upsert": """WITH nations AS (SELECT n_name AS name, n_regionkey AS region FROM nation)

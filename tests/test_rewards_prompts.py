@@ -96,6 +96,12 @@ def test_generation(completions):
     assert out[3].made == "答案：5" and out[0].prompt == "1+3=?"
 
 
+def test_models_are_called_once_per_row(completions, steady_scorer):
+    kept = scoring.score_completions(completions, scorer=steady_scorer).where("combined_reward > 0.5")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and kept.count() == 1
+
+
 def test_tutor_response(values):
     text = "\u3000first \r\n\n second\n答案：2."
     expected = (

@@ -102,16 +102,16 @@ class OrderedGroups:
         max_hot: int = MAX_HOT,
     ) -> None:
         self.keys = list(keys)
-        keyed = df.withColumn(
-            _KEY, F.struct(*[part.alias(f"o{i}") for i, part in enumerate(order)])
-        )
         self.hot = hot_groups(df, self.keys, hot_rows, max_hot)
         total = self.hot.agg(F.sum("__n")).first()[0]
         self.is_cut = total is not None
-        self.partition = [*self.keys, _RANGE] if self.is_cut else self.keys
         if not self.is_cut:
-            self.rows = keyed
+            self.rows, self.partition, self.order = df, self.keys, list(order)
             return
+        keyed = df.withColumn(
+            _KEY, F.struct(*[part.alias(f"o{i}") for i, part in enumerate(order)])
+        )
+        self.partition, self.order = [*self.keys, _RANGE], [F.col(_KEY)]
         # The number of cuts over all groups stays below MAX_CUTS at any table size.
         step = max(hot_rows // 2, -(-total // MAX_CUTS), 1)
         cuts = _cuts(keyed, self.keys, self.hot, step)
@@ -124,7 +124,7 @@ class OrderedGroups:
     @property
     def window(self):
         """Window over one range, or a group that is not cut, in order."""
-        return Window.partitionBy(*self.partition).orderBy(_KEY)
+        return Window.partitionBy(*self.partition).orderBy(*self.order)
 
     def finish(self, df: DataFrame) -> DataFrame:
         return df.drop(_KEY, _RANGE)

@@ -27,7 +27,6 @@ def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
     end = F.struct(
         (-F.col("score_chosen")).alias("down"),
         F.col(ord_col).alias("at"),
-        F.col("score_chosen").alias("score"),
         F.col("chosen").alias("text"),
         F.coalesce(F.col("answer"), F.lit("")).alias("answer"),
         F.col("metadata.source").alias("source"),
@@ -46,8 +45,8 @@ def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
         F.col("best.text").alias("chosen"),
         F.col("worst.text").alias("rejected"),
         answer.alias("answer"),
-        F.col("best.score").alias("score_chosen"),
-        F.col("worst.score").alias("score_rejected"),
+        (-F.col("best.down")).alias("score_chosen"),
+        (-F.col("worst.down")).alias("score_rejected"),
         F.struct(
             F.coalesce(F.col("best.source"), F.lit(DEFAULT_PAIR_SOURCE)).alias("source"),
             F.lit(None).cast("array<string>").alias("raw_keys"),

@@ -53,11 +53,15 @@ def is_local(spark: SparkSession) -> bool:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a fresh folder.
+    A checkpoint folder set on the context counts too. Only a local session may go
+    without both; it then gets a fresh folder.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
+    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if chosen.isDefined():
+        return chosen.get()
     if not is_local(spark):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
     return _local_dir()

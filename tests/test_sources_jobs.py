@@ -109,6 +109,25 @@ def test_dataset_splits(spark, tmp_path):
     assert datasets.load_dataset(spark, "named", "train").count() == 6
 
 
+def test_small_scans_are_spread(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    cores = spark.sparkContext.defaultParallelism
+    spread = datasets.spread_rows(one, "id")
+    assert "hashpartitioning(id" in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in spread.collect()) == list(range(100))
+    many = spark.range(0, 100, 1, cores * 2)
+    assert not datasets.is_small_scan(many) and datasets.spread_rows(many) is many
+
+
+def test_scratch_paths_lie_in_the_shared_folder(spark):
+    from gradeloom.runtime import scratch_path, shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    paths = {scratch_path(spark, "x") for _ in range(3)}
+    assert len(paths) == 3 and all(path.startswith(shared_dir(spark) + "/x-") for path in paths)
+
+
 def test_calibration_prompts(spark, tmp_path):
     schema = schemas.with_ordinal_field(schemas.RL_PROMPT)
     standing = datasets.calibration_prompts(spark, str(tmp_path / "none"), 8, schema)

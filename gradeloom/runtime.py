@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+LOCAL_SHARED_DIR = "/tmp/checkpoints/gradeloom"
 
 
 # Settings every session of this package should have. The Java VM leaves methods
@@ -32,6 +31,7 @@ def local_session(name: str = "gradeloom", cores: int | str = "*", **conf: str)
     """Session for tests and benchmarks on one machine."""
     settings = {
         **SESSION_SETTINGS,
+        _CHECKPOINT_DIR: LOCAL_SHARED_DIR,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
@@ -46,15 +46,16 @@ def local_session(name: str = "gradeloom", cores: int | str = "*", **conf: str)
     return spark
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def is_one_machine(spark: SparkSession) -> bool:
+    """True when driver and executors are one process, so that any folder is shared."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A checkpoint folder set on the context counts too. Only a local session may go
-    without both; it then gets a fresh folder.
+    A checkpoint folder set on the context counts too. Without both this fails, on any
+    master.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
@@ -62,14 +63,16 @@ def shared_dir(spark: SparkSession) -> str:
     chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
     if chosen.isDefined():
         return chosen.get()
-    if not is_local(spark):
-        raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
-    return _local_dir()
+    raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="gradeloom-")
+def ensure_shared_dir(spark: SparkSession, path: str = LOCAL_SHARED_DIR) -> None:
+    """Name a folder for a one-machine session that has none; a named one stays."""
+    context = spark.sparkContext
+    if spark.conf.get(_CHECKPOINT_DIR, None) or context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    if is_one_machine(spark):
+        context.setCheckpointDir(path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

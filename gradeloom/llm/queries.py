@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import nra_topk, pareto_mix, secret_links
+from gradeloom.llm import bbit_minhash, decontaminate, nra_topk, pareto_mix, secret_links
 from gradeloom.llm.common import table
 
 
@@ -30,8 +30,18 @@ def op3_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.digest(secret_links.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nra_topk": op1_nra_topk,
     "op2_pareto_mix": op2_pareto_mix,
     "op3_secret_links": op3_secret_links,
+    "op4_bbit_minhash": op4_bbit_minhash,
+    "op7_decontaminate": op7_decontaminate,
 }

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bbit_minhash, decontaminate, nra_topk, pareto_mix, secret_links
-from gradeloom.llm.common import table
+import public_tokenizers
+
+from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, nra_topk, pareto_mix, pfor_blocks, secret_links
+from gradeloom.llm.common import crc_mod, table
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +38,18 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pfor_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = pfor_blocks.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pfor_blocks.read_documents(manifest)
+
+
+def op6_hyper_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 5) == 0
+    found = hyper_lang.identify(docs, ~held_out, keep=["doc_id"])
+    return found.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,5 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": op2_pareto_mix,
     "op3_secret_links": op3_secret_links,
     "op4_bbit_minhash": op4_bbit_minhash,
+    "op5_pfor_blocks": op5_pfor_blocks,
+    "op6_hyper_lang": op6_hyper_lang,
     "op7_decontaminate": op7_decontaminate,
 }

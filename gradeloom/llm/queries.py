@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, nra_topk, pareto_mix, pfor_blocks, secret_links
+from gradeloom.llm import (
+    bbit_minhash,
+    decontaminate,
+    hyper_lang,
+    license_digest,
+    nra_topk,
+    pareto_mix,
+    pfor_blocks,
+    secret_links,
+    weak_labels,
+)
 from gradeloom.llm.common import crc_mod, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -54,6 +64,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nra_topk": op1_nra_topk,
     "op2_pareto_mix": op2_pareto_mix,
@@ -62,4 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pfor_blocks": op5_pfor_blocks,
     "op6_hyper_lang": op6_hyper_lang,
     "op7_decontaminate": op7_decontaminate,
+    "op8_license_digest": op8_license_digest,
+    "op9_weak_labels": op9_weak_labels,
 }

@@ -1,14 +1,68 @@
-"""The corpus pipeline: documents through the stages in turn, each written and reread."""
+"""The corpus pipeline: documents through five stages, each written and reread.
+
+Every stage takes all rows that the one before it kept and lets its decisions take
+effect. All but the last return the columns of ``documents``; extra columns stay.
+
+1. language: rows whose language cannot be told go (no letters, or a text unlike every
+   learned language). Learned from the rows with a language.
+2. near duplicates: one document of each group of near copies stays, the one with the
+   smallest id. Texts without words and rows without id are nobody's copies.
+3. decontamination: rows that hold a test item of ``benchmark`` go.
+4. mixing: rows are taken as often as the mix of their source asks, zero to three times.
+5. tokens: all rows as token ids in binary files; one row per document comes back.
+
+No rows give no rows.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, pareto_mix, pfor_blocks
 from gradeloom.llm.common import stored, table
 
-STAGES: list = []
+TOKENIZER = "byte_bpe_50k.json"
+# A cosine below this is no language: clean text of a learned one lies above 0.18 from
+# three words on, and shorter text is left alone.
+SCORE_LEAST, SHORT_WORDS = 0.05, 5
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = hyper_lang.identify(docs, F.lit(True))
+    words = pareto_mix.word_count(F.col("row.text"))
+    known = (F.col("lang_pred") != hyper_lang.UNKNOWN) & ((F.col("score") >= SCORE_LEAST) | (words < SHORT_WORDS))
+    return found.where(known).select("row.*")
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = bbit_minhash.near_duplicates(docs)
+    dropped = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
+    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pareto_mix.repeated(pareto_mix.mix_sources(docs))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pfor_blocks.read_documents(pfor_blocks.write_ids(docs, public_tokenizers.path(TOKENIZER)))
+
+
+STAGES = [
+    ("language", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("tokens", token_stage),
+]
 
-# Language prediction, tokens and file format are beyond SQL.
+# Language prediction, tokens and the file format are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -11,6 +11,7 @@ import public_tokenizers
 
 from gradeloom.llm import (
     bbit_minhash,
+    context_mix,
     decontaminate,
     hyper_lang,
     license_digest,
@@ -72,6 +73,10 @@ def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.classify(table(spark, sf_dir, "documents"))
 
 
+def op10_context_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mix.score_documents(table(spark, sf_dir, "documents"), crc_mod("doc_id", 10) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nra_topk": op1_nra_topk,
     "op2_pareto_mix": op2_pareto_mix,
@@ -82,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_license_digest": op8_license_digest,
     "op9_weak_labels": op9_weak_labels,
+    "op10_context_mix": op10_context_mix,
 }

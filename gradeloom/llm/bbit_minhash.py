@@ -132,6 +132,12 @@ def _with_class(pairs: DataFrame, classes: DataFrame, side: str, *columns: str)
     return pairs.join(other, side)
 
 
+def _with_component(rows: DataFrame, found: DataFrame, node: str, output: str) -> DataFrame:
+    """Add the component of a class; a class without links is its own."""
+    other = found.select(F.col("node").alias(node), F.col("component").alias(output))
+    return rows.join(other, node, "left").withColumn(output, F.coalesce(output, node))
+
+
 class _Confirm:
     """Checks candidate pairs on full sets, read again from the texts that are needed."""
 
@@ -171,18 +177,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = _with_class(_with_class(first, classes, "a", "n_shingles", "packed"), classes, "b", "n_shingles", "packed")
     links = confirm(first.where(_may_match()).select("a", "b"))
 
-    # What is not linked to the smallest class of its bucket meets the others there.
+    # A pair inside one component cannot change anything any more. Of a pair between two
+    # components at least one is not in that of the bucket's smallest class.
+    found = stored(components(links).select("node", "component"), "minhash-found")
     crowded = members.where(F.col("members") > 2)
-    apart = crowded.join(links.select(F.col("a").alias("pivot"), F.col("b").alias("class_id")), ["pivot", "class_id"], "left_anti")
-    apart = stored(_with_class(apart.select("key", F.col("class_id").alias("a")), classes, "a", "n_shingles", "packed"), "minhash-apart")
-    open_keys = apart.select("key").distinct()
-    others = crowded.join(open_keys, "key", "left_semi").select("key", F.col("class_id").alias("b"))
+    placed = _with_component(_with_component(crowded, found, "class_id", "own"), found, "pivot", "first")
+    apart = placed.where(F.col("own") != F.col("first")).select("key", F.col("class_id").alias("a"), F.col("own").alias("own_a"))
+    apart = stored(_with_class(apart, classes, "a", "n_shingles", "packed"), "minhash-apart")
+    others = placed.join(apart.select("key").distinct(), "key", "left_semi")
+    others = others.select("key", F.col("class_id").alias("b"), F.col("own").alias("own_b"))
     others = _with_class(others, classes, "b", "n_shingles", "packed")
-    met = apart.join(others, "key").where((F.col("a") != F.col("b")) & _may_match())
+    met = apart.join(others, "key").where((F.col("own_a") != F.col("own_b")) & _may_match())
     second = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = links.union(confirm(second))
+    found = components(links.union(confirm(second)))
 
-    found = components(links)
     owner = classes.select(*same, "class_id").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     owner = owner.select(*same, F.coalesce("component", "class_id").alias("owner"))
     joined = sketches.select("doc_id", *same).join(owner, same, "left")

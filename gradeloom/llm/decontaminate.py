@@ -39,45 +39,44 @@ def words_of(text: Column) -> Column:
     return F.filter(pieces, lambda w: w != "")
 
 
-def _runs(words: Column, length: int, of) -> Column:
-    """``of(words, position)`` for each run of ``length`` words; empty if there is none."""
-    last = F.size(words) - length
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: of(words, i)))
+def _runs(words: Column, lengths: Sequence[int], of) -> Column:
+    """``of(words, position, length)`` for all runs of words of the given lengths.
 
+    The words come in as a lambda variable: as an expression they would be cut out of the
+    text again for each run.
+    """
 
-def _hash_run(length: int):
-    return lambda words, i: F.xxhash64(*[F.get(words, i + j) for j in range(length)])
+    def listed(w: Column, n: int) -> Column:
+        last = F.size(w) - n
+        return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: i <= last), lambda i: of(w, i, n))
 
+    return F.flatten(F.transform(F.array(words), lambda w: F.concat(*[listed(w, n) for n in lengths])))
 
-def _text_run(length: int):
-    return lambda words, i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(length)])
 
+def _hash_run(words: Column, i: Column, length: int) -> Column:
+    return F.xxhash64(*[F.get(words, i + j) for j in range(length)])
 
-def _shingles(words: Column, lengths: Sequence[int], kind) -> Column:
-    """Runs of the given lengths, one array."""
-    empty = F.array().cast("array<bigint>" if kind is _hash_run else "array<string>")
-    return F.concat(*[F.coalesce(_runs(words, n, kind(n)), empty) for n in lengths])
 
-
-def _own_shingles(words: Column, kind) -> Column:
-    """Distinct shingles of an item: five words each, or all of fewer words."""
-    empty = F.array().cast("array<bigint>" if kind is _hash_run else "array<string>")
-    chosen = F.coalesce(_runs(words, SHINGLE_WORDS, kind(SHINGLE_WORDS)), empty)
-    for n in range(1, SHINGLE_WORDS):
-        chosen = F.when(F.size(words) == n, _runs(words, n, kind(n))).otherwise(chosen)
-    return F.array_distinct(chosen)
+def _text_run(words: Column, i: Column, length: int) -> Column:
+    return F.array_join(F.slice(words, i + 1, F.lit(length)), " ")
 
 
 def item_sketches(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """item_id, n_words, texts (all shingles), need (hits of a candidate), sketch."""
     rows = items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
-    hashed = rows.select(
-        "item_id", F.size("w").alias("n_words"), _own_shingles(F.col("w"), _text_run).alias("texts"), _own_shingles(F.col("w"), _hash_run).alias("hashes")
-    )
+    rows = stored(rows.distinct(), "leaks-words")
+
+    def shingles(of) -> Column:
+        found = _runs(F.col("w"), [SHINGLE_WORDS], of)
+        for n in range(1, SHINGLE_WORDS):
+            found = F.when(F.size("w") == n, _runs(F.col("w"), [n], of)).otherwise(found)
+        return F.array_distinct(found)
+
+    hashed = rows.select("item_id", F.size("w").alias("n_words"), shingles(_text_run).alias("texts"), shingles(_hash_run).alias("hashes"))
     size_class = F.floor(F.log2(F.size("hashes").cast("double"))).cast("int")
     kept = F.least(F.size("hashes"), SKETCH_STEP * (size_class + 1))
     sketch = F.slice(F.array_sort("hashes"), F.lit(1), kept)
-    return hashed.distinct().withColumn("sketch", sketch).withColumn("need", F.ceil(F.size("sketch") * CANDIDATE_SHARE).cast("int")).drop("hashes")
+    return hashed.withColumn("sketch", sketch).withColumn("need", F.ceil(F.size("sketch") * CANDIDATE_SHARE).cast("int")).drop("hashes")
 
 
 def find_leaks(
@@ -96,7 +95,7 @@ def find_leaks(
 
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     runs = source.select("doc_id", words_of(F.col("text")).alias("w"))
-    hashed = runs.select("doc_id", F.explode(_shingles(F.col("w"), lengths, _hash_run)).alias("h"))
+    hashed = runs.select("doc_id", F.explode(_runs(F.col("w"), lengths, _hash_run)).alias("h"))
     hits = hashed.join(sized(probes, BROADCAST_SKETCH), "h").distinct()
     counted = hits.groupBy("doc_id", "item_id", "need").agg(F.count(F.lit(1)).alias("hits"))
     candidates = stored(counted.where(F.col("hits") >= F.col("need")).select("doc_id", "item_id"), "leaks-candidates")
@@ -104,7 +103,7 @@ def find_leaks(
     wanted = candidates.withColumnRenamed("doc_id", "__doc_id")
     paired = source.join(sized(wanted, BROADCAST_PAIRS), F.col("doc_id").eqNullSafe(F.col("__doc_id"))).drop("__doc_id")
     checked = paired.join(sketched.select("item_id", "texts"), "item_id")
-    held = _shingles(words_of(F.col("text")), lengths, _text_run)
+    held = _runs(words_of(F.col("text")), lengths, _text_run)
     exact = checked.select(
         "doc_id", "item_id", F.size("texts").cast("long").alias("n_item"), F.size(F.array_intersect("texts", held)).cast("long").alias("n_shared")
     )

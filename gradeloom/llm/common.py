@@ -100,6 +100,11 @@ def word_hashes(data: bytes) -> np.ndarray:
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.empty(0, np.uint64)
+    return span_hashes(raw, starts, ends)
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of a byte array."""
     up, down = _POWERS.to(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])

@@ -26,33 +26,33 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import stored
+from gradeloom.llm.common import span_hashes, stored
 from gradeloom.runtime import scratch_path
 
 BLOCK, LANES = 512, 16
 FIT_PERCENT = 90
 END_ID = 0
-# Words whose ids a worker remembers; beyond that it starts anew.
-CACHE_WORDS = 1_000_000
+# Pieces whose ids a worker remembers; beyond that it starts anew.
+CACHE_PIECES = 1_500_000
 _CHUNK_BLOCKS = 2048
-_CHUNK_CHARS = 4_000_000
+_CHUNK_BYTES = 2_000_000
 _HEADER, _TRAILER = struct.Struct("<4sII"), struct.Struct("<QQQQI4s")
 _BLOCK_HEAD = struct.Struct("<IHH")
 _MANIFEST = "part long, path string, n_docs long, n_ids long"
 _RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
-# Fixed value: how the byte-level vocabulary cuts text before merging.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# How the vocabulary spells a blank.
+_BLANK, _JOINED = "\u0120", 2000
 
 
 # ---------------------------------------------------------------- blocks
@@ -219,13 +219,40 @@ class BlockReader:
 # ---------------------------------------------------------------- tokens
 
 
-class WordTokens:
-    """Ids of whole texts, tokenising each different word once.
+def cut_places(raw: np.ndarray) -> np.ndarray:
+    """Where encoded text may be cut without changing its ids, as flags before each byte.
 
-    The vocabulary's own rules cut text before every single space or line break between
-    two other characters, so ids of such words, with the blank before them, are ids of
-    the text. Texts with other white space or with the name of a special token go to the
-    tokenizer as they are.
+    Before a single blank, before and after a single line break, both between other
+    characters, and before a full stop or comma after a letter or digit: there the
+    vocabulary's own rules always begin a new piece. Next to characters that might be
+    white space nothing is cut.
+    """
+    ascii_sign = (raw > 0x20) & (raw < 0x7F)
+    two_byte = (raw >= 0xC3) & (raw <= 0xCF)  # begins a letter, never white space
+    solid_after = ascii_sign | two_byte
+    solid_before = ascii_sign.copy()
+    solid_before[1:] |= two_byte[:-1]
+    before = np.zeros(len(raw), bool)
+    before[1:] = solid_before[:-1]
+    after = np.zeros(len(raw), bool)
+    after[:-1] = solid_after[1:]
+    single = before & after
+    line = (raw == 0x0A) & single
+    cuts = line | ((raw == 0x20) & single)
+    cuts[1:] |= line[:-1]
+    small = raw | 0x20
+    plain = ((raw >= 0x30) & (raw <= 0x39)) | ((small >= 0x61) & (small <= 0x7A))
+    sign = (raw == 0x2E) | (raw == 0x2C)
+    cuts[1:] |= sign[1:] & plain[:-1]
+    return cuts
+
+
+class PieceTokens:
+    """Ids of whole texts, tokenising each different piece once.
+
+    Equal pieces of a group of texts are found by hash; the ids of earlier pieces are
+    remembered. New pieces are tokenised many at a time: a token that begins with a blank
+    begins a piece, a line break stands between pieces without one.
     """
 
     def __init__(self, path: str) -> None:
@@ -233,65 +260,101 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = regex.compile(PIECES)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(_BLANK)]] = True
+        self.line = self._encode(["\n"])[0]
+        self.pieces: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _cut(self, text: str) -> list[str] | None:
-        """Words with their place told by a leading line break or none; None if unsafe."""
-        words = text.replace("\n", " \n").split(" ")
-        plain = text.split()
-        if len(plain) != len(words) or any(s in text for s in self.special):
-            return None
-        if len("".join(plain)) != len(text) - text.count(" ") - text.count("\n"):
-            return None
-        return words
-
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.words) + len(missing) > CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
-        cut = {w: self.pieces.findall(w if w[0] == "\n" else " " + w) for w in missing}
-        new = list({p for pieces in cut.values() for p in pieces if p not in self.parts})
-        self.parts.update(zip(new, self._encode(new)))
-        self.words.update((w, b"".join([self.parts[p] for p in pieces])) for w, pieces in cut.items())
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        cuts = [self._cut(t) if t else [] for t in texts]
-        whole = [i for i, c in enumerate(cuts) if c is None]
-        heads = [i for i, c in enumerate(cuts) if c]
-        for i, ids in zip(whole + heads, self._encode([texts[i] for i in whole] + [cuts[i][0] for i in heads])):
-            out[i] = ids
-        missing: set[str] = set()
-        for i in heads:
-            missing.update(cuts[i][1:])
-        self._learn({w for w in missing if w not in self.words})
-        get = self.words.__getitem__
-        for i in heads:
-            out[i] += b"".join(map(get, cuts[i][1:]))
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _encode_joined(self, pieces: list[bytes], between: bytes) -> list[bytes]:
+        """Ids of pieces that all begin with a blank, or of ones set apart by ``between``."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), _JOINED):
+            chosen = pieces[at : at + _JOINED]
+            raw = self._encode([between.join(chosen).decode()])[0]
+            ids = np.frombuffer(raw, "<u4")
+            if between:
+                ends = 4 * np.flatnonzero(ids == int.from_bytes(self.line, "little"))
+                starts = [0, *(ends + 4).tolist()]
+                ends = [*ends.tolist(), len(raw)]
+            else:
+                starts = (4 * np.flatnonzero(self.begins[ids])).tolist()
+                ends = [*starts[1:], len(raw)]
+            if len(starts) == len(chosen):
+                out += [raw[s:e] for s, e in zip(starts, ends)]
+            else:
+                out += self._encode([p.decode() for p in chosen])
         return out
 
+    def _learn(self, missing: list[bytes]) -> None:
+        """Pieces with other white space than a first blank go to the tokenizer alone."""
+        spaced = [p for p in missing if p[0] == 0x20 and _plain(p[1:])]
+        rest = [p for p in missing if p[0] != 0x20 and _plain(p)]
+        alone = set(missing).difference(spaced, rest)
+        self.pieces.update(zip(spaced, self._encode_joined(spaced, b"")))
+        self.pieces.update(zip(rest, self._encode_joined(rest, b"\n")))
+        self.pieces.update(zip(alone, self._encode([p.decode() for p in alone])))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()
+        sizes = np.array([len(t) for t in texts])
+        if not sizes.any():
+            return [b""] * len(texts)
+        # A zero byte between texts: nothing is cut next to it.
+        data = b"\0".join(texts) + b"\0"
+        raw = np.frombuffer(data, np.uint8)
+        ends = np.cumsum(sizes + 1) - 1
+        begins = cut_places(raw)
+        begins[ends - sizes] = True
+        begins[ends] = True
+        starts = np.flatnonzero(begins)
+        stops = np.append(starts[1:], len(raw))
+        is_piece = np.ones(len(starts), bool)
+        is_piece[np.searchsorted(starts, ends)] = False
+        starts, stops = starts[is_piece], stops[is_piece]
+        _, first, number = np.unique(span_hashes(raw, starts, stops), return_index=True, return_inverse=True)
+        names = [data[s:e] for s, e in zip(starts[first].tolist(), stops[first].tolist())]
+        known = list(map(self.pieces.get, names))
+        if None in known:
+            self._learn([name for name, ids in zip(names, known) if ids is None])
+            known = list(map(self.pieces.__getitem__, names))
+        ids = np.frombuffer(b"".join(known), "<u4")
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        offsets = np.cumsum(lengths) - lengths
+        each = lengths[number]
+        upto = np.cumsum(each)
+        joined = ids[np.repeat(offsets[number] - upto + each, each) + np.arange(upto[-1])].tobytes()
+        bounds = np.append(0, 4 * upto)[np.searchsorted(starts, np.append(0, ends + 1))].tolist()
+        return [joined[s:e] for s, e in zip(bounds, bounds[1:])]
+
+
+def _plain(piece: bytes) -> bool:
+    """True for a piece without white space, which can stand among others."""
+    text = piece.decode()
+    return text.split() == [text]
+
 
 @functools.cache
-def _tokens(path: str) -> WordTokens:
-    return WordTokens(path)
+def _tokens(path: str) -> PieceTokens:
+    return PieceTokens(path)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
     """Rows in groups of bounded text."""
     for batch in batches:
         ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
+        column = batch.column(1)
+        column = column.cast(pa.large_binary() if column.type == pa.large_string() else pa.binary())
+        for doc_id, text in zip(batch.column(0), column):
             ids.append(doc_id.as_py())
-            texts.append(text.as_py() or "")
+            texts.append(text.as_py() or b"")
             size += len(texts[-1])
-            if size >= _CHUNK_CHARS:
+            if size >= _CHUNK_BYTES:
                 yield ids, texts
                 ids, texts, size = [], [], 0
         if ids:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from gradeloom import fixed
 from gradeloom.functions.answers import extract_source_answer
+from gradeloom.functions.numbers import float_text
 from gradeloom.functions.whitespace import (
     ColumnOrName,
     as_column,
@@ -119,7 +120,7 @@ _ASSISTANT_CUE = "\n\nASSISTANT:\n"
 
 def flatten_messages(messages: ColumnOrName) -> Column:
     """A message array as one prompt text that ends with the assistant's cue."""
-    turns = F.transform(as_column(messages), lambda m: _turn_text(m["role"], m["content"]))
+    turns = F.transform(as_column(messages), lambda m: _turn_text(m["role"], F.coalesce(m["content"], F.lit(""))))
     return F.concat(F.array_join(turns, "\n\n"), F.lit(_ASSISTANT_CUE))
 
 
@@ -131,7 +132,8 @@ def flatten_turns(
     Each conversation becomes a single string, so a group is never larger than the
     row it produces.
     """
-    line = _turn_text(F.col(role), F.col(text))
+    # A turn without text keeps its place.
+    line = _turn_text(F.col(role), F.coalesce(F.col(text), F.lit("")))
     return (
         df.select(F.col(key), F.col(turn).alias("__turn"), line.alias("__line"))
         .groupBy(key)
@@ -148,7 +150,7 @@ def flatten_turns(
 def completion_text(completion: ColumnOrName, data_type: T.DataType) -> Column:
     """Plain text of a completion column of type ``data_type``.
 
-    Strings pass through, a struct gives its ``content``, an array gives its
+    Strings pass through, a struct or map gives its ``content``, an array gives its
     non-empty parts joined by a newline, and anything else its printed form.
     """
     value = as_column(completion)
@@ -157,10 +159,20 @@ def completion_text(completion: ColumnOrName, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StructType):
         if "content" not in data_type.fieldNames():
             return F.lit("")
-        return F.coalesce(value["content"].cast("string"), F.lit(""))
+        return _printed(value["content"], data_type["content"].dataType)
+    if isinstance(data_type, T.MapType):
+        content = _printed(F.try_element_at(value, F.lit("content")), data_type.valueType)
+        return F.when(F.map_contains_key(value, F.lit("content")), content).otherwise(F.lit(""))
     if isinstance(data_type, T.ArrayType):
         parts = F.transform(value, lambda part: completion_text(part, data_type.elementType))
         return F.array_join(F.filter(parts, lambda part: part != ""), "\n")
+    return _printed(value, data_type)
+
+
+def _printed(value: Column, data_type: T.DataType) -> Column:
+    """A value as text: ``True``, ``1e+16``, ``None`` for null."""
     if isinstance(data_type, T.BooleanType):
         return F.when(value, F.lit("True")).when(~value, F.lit("False")).otherwise(F.lit("None"))
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return F.coalesce(float_text(value.cast("double")), F.lit("None"))
     return F.coalesce(value.cast("string"), F.lit("None"))

@@ -24,10 +24,10 @@ BLANKS = LINE_ENDS + INLINE_BLANKS
 
 # The same sets as regular-expression character classes. The rare wide blanks stand
 # behind one range test, so that ordinary letters are ruled out in two steps.
-_WIDE_BLANK = r"[ -　&&[  -     　]]"
+_WIDE_BLANK = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 BLANK_CLASS = rf"[\t-\r\x1c-\x20\x85\xa0{_WIDE_BLANK}]"
-_LINE_END = r"[\n-\r\x1c-\x1e\x85  ]"
-_NOT_LINE_END = r"[^\n-\r\x1c-\x1e\x85  ]"
+_LINE_END = r"[\n-\r\x1c-\x1e\x85\u2028\u2029]"
+_NOT_LINE_END = r"[^\n-\r\x1c-\x1e\x85\u2028\u2029]"
 
 
 def as_column(value: ColumnOrName) -> Column:

@@ -51,9 +51,9 @@ def chat_table(df: DataFrame, system_prompt: str = TRAINING_SYSTEM_PROMPT) -> Da
 def preference_table(df: DataFrame) -> DataFrame:
     """Pairs as ``prompt, chosen, rejected, answer, metadata``, without their scores."""
     _required(df, "prompt", "chosen", "rejected")
-    return df.select(
-        "prompt", "chosen", "rejected", _text(df, "answer").alias("answer"), _metadata(df)
-    )
+    # Ranked pairs have a source only; an object without a key is not one with a null.
+    tags = F.parse_json(F.to_json(_metadata(df))).alias("metadata")
+    return df.select("prompt", "chosen", "rejected", _text(df, "answer").alias("answer"), tags)
 
 
 def instruction_table(df: DataFrame) -> DataFrame:

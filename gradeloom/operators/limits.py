@@ -16,12 +16,15 @@ _SPLIT = re.compile(r"(?P<name>[^\[\]]+)(?:\[(?P<start>\d*):(?P<stop>\d*)\])?")
 def nth_ordinal(df: DataFrame, n: int, ord_col: str = "ord") -> int | None:
     """The ``n``-th smallest value (from 1) of a whole-number column.
 
-    None when there are fewer than ``n`` rows. Each pass counts the remaining value
+    None when there are fewer than ``n`` rows. A null, or a value repeated across the
+    cut, is an error, as no prefix would have ``n`` rows. Each pass counts the remaining value
     range in at most 4096 buckets, reading the ordinal column only; the driver sees
     those counts and no rows.
     """
-    ordinal = F.col(ord_col)
-    low, high, total = df.agg(F.min(ordinal), F.max(ordinal), F.count(ordinal)).first()
+    ordinal = F.col(ord_col).cast("long")
+    low, high, total, rows = df.agg(F.min(ordinal), F.max(ordinal), F.count(ordinal), F.count(F.lit(1))).first()
+    if total < rows:
+        raise ValueError(f"{ord_col} has nulls")
     if total < n:
         return None
     wanted = n
@@ -40,6 +43,8 @@ def nth_ordinal(df: DataFrame, n: int, ord_col: str = "ord") -> int | None:
                 high = min(high, low + (1 << shift) - 1)
                 break
             wanted -= count
+    if df.where(ordinal <= low).count() != n:
+        raise ValueError(f"{ord_col} is not unique: {low} occurs more than once")
     return low
 
 

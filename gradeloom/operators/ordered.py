@@ -1,142 +1,68 @@
 """Order-dependent work over groups of any size.
 
-A plain window puts a whole group into one task. When one group may hold a third
-of the table that task never ends, so the operators here first look for groups
-above a row limit and cut those into consecutive ranges of the order key. Every
-range is then an ordinary window partition, and what a range needs from the ones
-before it travels in a small summary table. Groups below the limit, normally all
-of them, use the plain window.
+A plain window puts a whole group into one task, and a group may hold a third of the
+table. So rows are first spread by ranges of (keys, order), which Spark balances by
+sampling, and the number of each row's range is kept with it in a reliable checkpoint. A
+window then covers one group within one range, which is at most what one task holds,
+and what a range needs from the ones before it travels in a table of one row per group
+and range. Large and small groups take the same path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.runtime import prepare_checkpoints
 
-# A group above HOT_ROWS rows is treated apart. At most MAX_HOT groups are: any other
-# group then holds less than one row in MAX_HOT. MAX_CUTS limits the cut points over
-# all groups. These bounds, and not the data, set the size of what is broadcast.
-HOT_ROWS = 1_000_000
-MAX_HOT = 1_000
-MAX_CUTS = 8_192
-
 _KEY = "__order_key"
 _RANGE = "__order_range"
-_FENCE = 64
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"__k_{key}"])
-    return condition
-
-
-def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({key: f"__k_{key}" for key in keys})
-
-
-def _join_small(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join a table of bounded size by broadcasting it."""
-    other = _renamed(small, keys)
-    joined = df.join(F.broadcast(other), _same_keys(df, other, keys), "left")
-    return joined.drop(*[f"__k_{key}" for key in keys])
-
-
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT
-) -> DataFrame:
-    """The largest groups above ``hot_rows`` rows, at most ``max_hot`` of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > hot_rows).orderBy(F.col("__n").desc()).limit(max_hot)
-
-
-def _cuts(df: DataFrame, keys: Sequence[str], hot: DataFrame, step: int) -> DataFrame:
-    """Sorted cut points of each hot group: about every ``step``-th row, by hash."""
-    picked = F.pmod(F.xxhash64(_KEY), F.lit(step)) == 0
-    candidates = _join_small(df.select(*keys, _KEY).where(picked), hot, keys)
-    cuts = (
-        candidates.where(F.col("__n").isNotNull())
-        .select(*keys, _KEY)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(_KEY)).alias("__cuts"))
-    )
-    fences = F.filter("__cuts", lambda _, i: i % _FENCE == 0)
-    return cuts.withColumn("__fences", fences)
 
 
-def _range_of(key: Column) -> Column:
-    """Number of cut points at or below ``key``, by a two-level search."""
-    section = F.size(F.filter("__fences", lambda cut: cut <= key))
-    inside = F.slice(
-        F.col("__cuts"), F.greatest((section - 1) * _FENCE + 1, F.lit(1)), F.lit(_FENCE)
-    )
-    within = F.size(F.filter(inside, lambda cut: cut <= key))
-    return (
-        F.when(F.col("__cuts").isNull(), F.lit(0))
-        .when(section == 0, F.lit(0))
-        .otherwise((section - 1) * _FENCE + within)
-    )
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on equal keys, null keys included; the right side has one row per key."""
+    other = right.withColumnsRenamed({key: f"__k_{key}" for key in keys})
+    condition = left[keys[0]].eqNullSafe(other[f"__k_{keys[0]}"])
+    for key in keys[1:]:
+        condition = condition & left[key].eqNullSafe(other[f"__k_{key}"])
+    return left.join(other, condition, "left").drop(*[f"__k_{key}" for key in keys])
 
 
 class OrderedGroups:
     """Rows of a table with each group cut into consecutive, task-sized ranges.
 
-    ``order`` must be unique within a group; all its columns sort ascending. The
-    input is read several times, so keys and order must be stored values or follow
-    from them.
+    ``order`` must be unique within a group; all its columns sort ascending.
     """
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[Column],
-        hot_rows: int = HOT_ROWS,
-        max_hot: int = MAX_HOT,
-    ) -> None:
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> None:
+        if not keys:
+            raise ValueError("grouping needs at least one key column")
+        prepare_checkpoints(df.sparkSession)
         self.keys = list(keys)
-        self.hot = hot_groups(df, self.keys, hot_rows, max_hot)
-        total = self.hot.agg(F.sum("__n")).first()[0]
-        self.is_cut = total is not None
-        if not self.is_cut:
-            self.rows, self.partition, self.order = df, self.keys, list(order)
-            return
-        keyed = df.withColumn(
-            _KEY, F.struct(*[part.alias(f"o{i}") for i, part in enumerate(order)])
-        )
-        self.partition, self.order = [*self.keys, _RANGE], [F.col(_KEY)]
-        # The number of cuts over all groups stays below MAX_CUTS at any table size.
-        step = max(hot_rows // 2, -(-total // MAX_CUTS), 1)
-        cuts = _cuts(keyed, self.keys, self.hot, step)
-        self.rows = (
-            _join_small(keyed, cuts, self.keys)
-            .withColumn(_RANGE, _range_of(F.col(_KEY)))
-            .drop("__cuts", "__fences")
-        )
+        keyed = df.withColumn(_KEY, F.struct(*[part.alias(f"o{i}") for i, part in enumerate(order)]))
+        ranged = keyed.repartitionByRange(*self.keys, _KEY).withColumn(_RANGE, F.spark_partition_id())
+        self.rows = ranged.checkpoint()
 
     @property
     def window(self):
-        """Window over one range, or a group that is not cut, in order."""
-        return Window.partitionBy(*self.partition).orderBy(*self.order)
+        """Window over the rows of a group in one range, in order."""
+        return Window.partitionBy(*self.keys, _RANGE).orderBy(_KEY)
+
+    @property
+    def so_far(self):
+        return self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop(_KEY, _RANGE)
+        return df.drop(_KEY, _RANGE, "__carry")
 
     def with_carry(self, df: DataFrame, partial: Column, carry_over) -> DataFrame:
         """Add ``__carry``: ``partial`` of each range combined over earlier ranges.
 
-        ``carry_over(column, window)`` combines the per-range values. The summary
-        holds one row per range of a cut group and is therefore small.
+        ``carry_over(column, window)`` combines the values of a group's ranges, of which
+        there are at most as many as tasks.
         """
-        if not self.is_cut:
-            return df.withColumn("__carry", F.lit(None))
         per_range = self.rows.groupBy(*self.keys, _RANGE).agg(partial.alias("__part"))
         earlier = (
             Window.partitionBy(*self.keys)
@@ -144,37 +70,31 @@ class OrderedGroups:
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         carried = per_range.withColumn("__carry", carry_over(F.col("__part"), earlier))
-        # Range 0 has nothing before it, which leaves only the cut groups.
-        later = carried.where(F.col(_RANGE) > 0).drop("__part")
-        return _join_small(df, later, [*self.keys, _RANGE])
+        return same_keys(df, carried.drop("__part"), [*self.keys, _RANGE])
+
+
+def _sum_before(part: Column, earlier) -> Column:
+    return F.coalesce(F.sum(part).over(earlier), F.lit(0))
 
 
 def with_rank(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    output: str = "rank",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], output: str = "rank"
 ) -> DataFrame:
     """Add the 1-based position of each row in its group."""
-    groups = OrderedGroups(df, keys, order, hot_rows)
+    groups = OrderedGroups(df, keys, order)
     local = groups.rows.withColumn(output, F.row_number().over(groups.window).cast("long"))
-    carried = groups.with_carry(
-        local, F.count(F.lit(1)), lambda part, earlier: F.sum(part).over(earlier)
-    )
-    total = F.col(output) + F.coalesce(F.col("__carry").cast("long"), F.lit(0))
-    return groups.finish(carried.withColumn(output, total).drop("__carry"))
+    carried = groups.with_carry(local, F.count(F.lit(1)), _sum_before)
+    return groups.finish(carried.withColumn(output, F.col(output) + F.col("__carry")))
 
 
-def _running_sum(groups: OrderedGroups, value: str, output: str) -> DataFrame:
+def with_running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, output: str
+) -> DataFrame:
     """Add the sum of a whole-number column over the group up to each row."""
-    so_far = groups.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = groups.rows.withColumn(output, F.sum(value).over(so_far))
-    carried = groups.with_carry(
-        local, F.sum(value), lambda part, earlier: F.sum(part).over(earlier)
-    )
-    total = F.col(output) + F.coalesce(F.col("__carry").cast("long"), F.lit(0))
-    return groups.finish(carried.withColumn(output, total).drop("__carry"))
+    groups = OrderedGroups(df, keys, order)
+    local = groups.rows.withColumn(output, F.sum(value).over(groups.so_far))
+    carried = groups.with_carry(local, F.sum(value), _sum_before)
+    return groups.finish(carried.withColumn(output, F.col(output) + F.col("__carry")))
 
 
 def with_last_known(
@@ -183,21 +103,14 @@ def with_last_known(
     order: Sequence[Column],
     values: Sequence[str],
     prefix: str = "last_",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the last non-null value of each column over the group up to each row."""
-    groups = OrderedGroups(df, keys, order, hot_rows)
-    so_far = groups.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    groups = OrderedGroups(df, keys, order)
     local = groups.rows.withColumns(
-        {f"{prefix}{v}": F.last(v, ignorenulls=True).over(so_far) for v in values}
+        {f"{prefix}{v}": F.last(v, ignorenulls=True).over(groups.so_far) for v in values}
     )
-    if not groups.is_cut:
-        return groups.finish(local)
     latest = F.struct(
-        *[
-            F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_KEY))).alias(v)
-            for v in values
-        ]
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_KEY))).alias(v) for v in values]
     )
     carried = groups.with_carry(
         local,
@@ -209,24 +122,18 @@ def with_last_known(
     filled = carried.withColumns(
         {f"{prefix}{v}": F.coalesce(F.col(f"{prefix}{v}"), F.col("__carry")[v]) for v in values}
     )
-    return groups.finish(filled.drop("__carry"))
+    return groups.finish(filled)
 
 
-def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, output: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Exact median per group, the mean of the middle two for an even count.
+def median_of_counts(counted: DataFrame, keys: Sequence[str], value: str, count: str, output: str) -> DataFrame:
+    """Exact median per group of a table with one row per distinct value and its count.
 
-    Equal values are counted before anything is shuffled, so the ranking sees each
-    distinct value once however often it occurs.
+    The mean of the middle two for an even count. Null values do not take part.
     """
-    counted = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    )
-    groups = OrderedGroups(counted, keys, [F.col(value)], hot_rows)
-    running = _running_sum(groups, "__c", "__upto")
-    hot = groups.hot if groups.is_cut else None
-    placed = _attach(running, keys, {"__total": F.sum("__c")}, hot)
+    known = counted.where(F.col(value).isNotNull()).select(*keys, value, F.col(count).alias("__c"))
+    running = with_running_sum(known, keys, [F.col(value)], "__c", "__upto")
+    totals = known.groupBy(*keys).agg(F.sum("__c").alias("__total"))
+    placed = same_keys(running, totals, keys)
     lower = F.expr("(__total + 1) div 2")
     upper = F.expr("__total div 2 + 1")
     before = F.col("__upto") - F.col("__c")
@@ -236,30 +143,26 @@ def exact_median(
     return placed.where(at_lower | at_upper).groupBy(*keys).agg(middle.alias(output))
 
 
-def with_group_values(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add aggregates of the whole group to each of its rows.
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, output: str) -> DataFrame:
+    """Exact median per group, the mean of the middle two for an even count.
 
-    Groups go through a window. Those above ``hot_rows`` rows are instead reduced by
-    a partial aggregate whose few result rows are broadcast to them.
+    Equal values are counted before anything is ordered, so the running count sees each
+    distinct value once however often it occurs.
     """
-    hot = hot_groups(df, keys, hot_rows)
-    return _attach(df, keys, values, None if hot.isEmpty() else hot)
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    return median_of_counts(counted, keys, value, "__n", output)
 
 
-def _attach(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column], hot: DataFrame | None
-) -> DataFrame:
-    whole = Window.partitionBy(*keys)
-    windowed = {name: value.over(whole) for name, value in values.items()}
-    if hot is None:
-        return df.withColumns(windowed)
-    marked = _join_small(df, hot, keys)
-    small = marked.where(F.col("__n").isNull()).drop("__n")
-    large = marked.where(F.col("__n").isNotNull()).drop("__n")
-    reduced = large.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
-    return small.withColumns(windowed).unionByName(_join_small(large, reduced, keys))
+def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Add aggregates of the whole group to each of its rows.
+
+    A partial aggregate and a join on the keys; the side of the aggregate has one row per
+    group, so a large group on the other side can be split.
+    """
+    if not keys:
+        raise ValueError("grouping needs at least one key column")
+    reduced = df.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
+    return same_keys(df, reduced, keys)
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str | Column], output: str = "ord") -> DataFrame:

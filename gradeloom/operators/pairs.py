@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.fixed import DEFAULT_PAIR_SOURCE
 from gradeloom.operators.normalize import normalize_rewards
-from gradeloom.operators.ordered import HOT_ROWS, with_rank
+from gradeloom.operators.ordered import with_rank
 
 Mode = Literal["auto", "pairs", "scored", "per_row"]
 
@@ -56,12 +56,12 @@ def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
 
 
 def rank_responses(
-    records: DataFrame, ord_col: str = "ord", output: str = "rank", hot_rows: int = HOT_ROWS
+    records: DataFrame, ord_col: str = "ord", output: str = "rank"
 ) -> DataFrame:
     """Scored responses with their rank in the prompt, best first, ties in input order."""
     scored = records.where(F.col("score_chosen").isNotNull())
     order = [-F.col("score_chosen"), F.col(ord_col)]
-    return with_rank(scored, ["prompt"], order, output, hot_rows)
+    return with_rank(scored, ["prompt"], order, output)
 
 
 def complete_pairs(records: DataFrame, ord_col: str = "ord") -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeloom.fixed import SUMMARY_METRICS
+from gradeloom.functions.numbers import float_text
 from gradeloom.functions.whitespace import word_count
 from gradeloom.operators.ordered import (
-    HOT_ROWS,
-    exact_median,
+    median_of_counts,
+    same_keys,
     with_group_values,
     with_last_known,
 )
@@ -59,11 +60,10 @@ def last_known_metrics(
     metrics: Sequence[str] = SUMMARY_METRICS,
     run: str = "run",
     ord_col: str = "ord",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The log with the last known value of each metric carried to every row."""
     return with_last_known(
-        logged_steps(log), [run], [F.col(ord_col)], _present(log, metrics), hot_rows=hot_rows
+        logged_steps(log), [run], [F.col(ord_col)], _present(log, metrics)
     )
 
 
@@ -141,29 +141,6 @@ def align_curves(
     return both.groupBy("step").agg(*columns)
 
 
-def float_text(value: Column) -> Column:
-    """Shortest decimal form of a double: ``0.5``, ``12.0``, ``1e-07``, ``1e+16``."""
-    size = F.abs(value)
-    java = value.cast("string")
-    # Plain notation from 0.0001 up to 1e16, where the cast already gives an exponent.
-    plain = F.regexp_replace(value.cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+\z", "$1")
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0\z", "")
-    exponent = F.substring_index(java, "E", -1).try_cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(exponent).cast("string"),
-    )
-    return (
-        F.when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when(F.contains(java, F.lit("E")) & ((size >= 1e16) | (size < 1e-4)), scientific)
-        .when(F.contains(java, F.lit("E")), plain)
-        .otherwise(java)
-    )
-
-
 def report_lines(
     comparison: DataFrame, run_a: str, run_b: str, title: str | None = None
 ) -> DataFrame:
@@ -210,7 +187,6 @@ def group_advantage(
     group: str = "prompt",
     reward: str = "combined_reward",
     epsilon: float = 1e-4,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add each completion's reward relative to its group.
 
@@ -218,7 +194,7 @@ def group_advantage(
     prompt. A prompt with very many completions is never gathered in one task.
     """
     values = {"group_mean": F.avg(reward), "group_std": F.stddev_pop(reward)}
-    placed = with_group_values(scored, [group], values, hot_rows)
+    placed = with_group_values(scored, [group], values)
     advantage = (F.col(reward) - F.col("group_mean")) / (F.col("group_std") + F.lit(epsilon))
     return placed.withColumn("advantage", advantage)
 
@@ -228,7 +204,6 @@ def latency_summary(
     by: Sequence[str] = (),
     latency: str = "latency_sec",
     text: str = "text",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Request count, mean and median latency and words per second.
 
@@ -239,16 +214,18 @@ def latency_summary(
     words = requests.select(
         *(by or [F.lit(0).alias(_ALL)]), F.col(latency).alias("__latency"), word_count(text).alias("__words")
     )
-    means = words.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("repeats"),
-        F.avg("__latency").alias("avg_latency_sec"),
-        F.avg("__words").alias("__avg_words"),
+    # Everything follows from the requests and words per distinct latency.
+    n, known = F.col("__n"), F.col("__latency").isNotNull()
+    counted = words.groupBy(*keys, "__latency").agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("__words").alias("__sum"), F.count("__words").alias("__texts")
+    )
+    means = counted.groupBy(*keys).agg(
+        F.sum(n).alias("repeats"),
+        (F.sum(F.col("__latency") * n) / F.sum(F.when(known, n))).alias("avg_latency_sec"),
+        F.try_divide(F.sum("__sum"), F.sum("__texts")).alias("__avg_words"),
     )
-    medians = exact_median(words.select(*keys, "__latency"), keys, "__latency", "p50_latency_sec", hot_rows)
-    # Both tables have one row per group; stacking them needs no join and keeps null keys.
-    stacked = means.unionByName(medians, allowMissingColumns=True).groupBy(*keys)
-    measures = ("repeats", "avg_latency_sec", "p50_latency_sec", "__avg_words")
-    merged = stacked.agg(*[F.max(name).alias(name) for name in measures])
+    medians = median_of_counts(counted, keys, "__latency", "__n", "p50_latency_sec")
+    merged = same_keys(means, medians, keys)
     average = F.col("avg_latency_sec")
     return merged.select(
         *by,

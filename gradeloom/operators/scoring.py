@@ -32,9 +32,11 @@ class BatchScorer(Protocol):
 
 
 class ChatTemplate(Protocol):
-    """Anything that renders a list of ``{role, content}`` to text."""
+    """Anything that renders a list of ``{role, content}`` to text when told not to tokenise."""
 
-    def apply_chat_template(self, messages: list[dict[str, str]]) -> str: ...
+    def apply_chat_template(
+        self, messages: list[dict[str, str]], tokenize: bool, add_generation_prompt: bool
+    ) -> str: ...
 
 
 def scorer_udf(factory: Callable[[], Scorer | BatchScorer]) -> Callable[..., Column]:
@@ -69,7 +71,9 @@ def chat_template_udf(factory: Callable[[], ChatTemplate]) -> Callable[..., Colu
         for messages in batches:
             yield messages.map(
                 lambda turns: template.apply_chat_template(
-                    [{"role": t["role"], "content": t["content"]} for t in turns]
+                    [{"role": t["role"], "content": t["content"]} for t in turns],
+                    tokenize=False,
+                    add_generation_prompt=False,
                 )
             )
 
@@ -147,9 +151,9 @@ def score_completions(
         }
     )
     total = combined_reward("correctness_reward", "rlaif_reward", "format_reward", weights)
-    return scored.withColumn("combined_reward", total).select(
-        *df.columns, "predicted_answer", *PARTS
-    )
+    added = ("predicted_answer", *PARTS)
+    kept = [name for name in df.columns if name not in added]
+    return scored.withColumn("combined_reward", total).select(*kept, *added)
 
 
 def reward_values(df: DataFrame, output: str = "reward", **options) -> DataFrame:

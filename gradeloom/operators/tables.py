@@ -12,11 +12,22 @@ from gradeloom.operators.normalize import normalize_sft
 _SPLIT_SLOTS = 10_000
 
 
-def upsert(current: DataFrame, changes: DataFrame, key: str = "name") -> DataFrame:
+def upsert(
+    current: DataFrame, changes: DataFrame, key: str = "name", order: str | None = None
+) -> DataFrame:
     """``current`` with the rows of ``changes`` put in by key, others kept.
 
-    ``changes`` holds one row per key; later sources win by calling this in turn.
+    Of several changes to a key the one with the highest ``order`` wins; that column is
+    not kept. Without it a repeated key is an error, as no row is the last.
     """
+    if order is not None:
+        names = [name for name in changes.columns if name not in (key, order)]
+        last = F.max_by(F.struct(*names), order).alias("__last")
+        changes = changes.groupBy(key).agg(last).select(key, "__last.*")
+    else:
+        repeated = changes.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").first()
+        if repeated is not None:
+            raise ValueError(f"{key} {repeated[0]!r} is changed more than once; name an order column")
     return current.join(changes, key, "left_anti").unionByName(changes, allowMissingColumns=True)
 
 

@@ -205,8 +205,10 @@ def generated_completions(spark, sf_dir):
 def chat_template(spark, sf_dir):
     def factory():
         class Tags:
-            def apply_chat_template(self, messages):
-                return "".join(f"[{m['role']}]{m['content']}" for m in messages)
+            # Tokenises unless told not to, as common tokenizers do.
+            def apply_chat_template(self, messages, tokenize=True, add_generation_prompt=True):
+                text = "".join(f"[{m['role']}]{m['content']}" for m in messages)
+                return [len(text)] if tokenize else text + "[assistant]" * add_generation_prompt
 
         return Tags()
 
@@ -330,7 +332,7 @@ def user_prompts(spark, sf_dir):
     return df.select(
         "doc_id",
         prompts.user_prompt("text").alias("prompt"),
-        F.length(prompts.tutor_generation_prompt("text")).alias("full_length"),
+        prompts.tutor_generation_prompt("text").alias("full_prompt"),
     )
 
 
@@ -600,7 +602,7 @@ def unified_sources(spark, sf_dir):
         F.col("doc_id").alias("ord"), F.col("source").alias("instruction"), F.col("text").alias("output"), F.col("lang").alias("label")
     )
     df = tables.unify_sources({"talks": talks, "docs": docs})
-    return df.select("ord", "prompt", "answer", F.length("response").alias("length"), F.col("metadata.source").alias("source"))
+    return df.select("ord", "prompt", "answer", "response", F.col("metadata.source").alias("source"))
 
 
 @registered
@@ -701,7 +703,7 @@ def export_chat(spark, sf_dir):
 def export_preference(spark, sf_dir):
     records = pairs.pairs_from_scores(inputs.scored_responses(spark, sf_dir))
     out = _exported(exports.preference_table(records))
-    return out.select("prompt", "chosen", "rejected", "answer", F.col("metadata.source").alias("source"))
+    return out.select("prompt", "chosen", "rejected", "answer", F.to_json("metadata").alias("metadata"))
 
 
 @registered
@@ -726,8 +728,6 @@ def stream_scores(spark, sf_dir):
     """Completions that arrive as a stream, scored into a table."""
     known = table(spark, sf_dir, "lineitem")
     lines = datasets.stream_dataset(spark, sf_dir, known.schema, pathGlobFilter="lineitem.parquet")
-    if datasets.is_small_scan(known):
-        lines = lines.repartition(spark.sparkContext.defaultParallelism, *_LINE_KEY)
     arriving = inputs.select_all(inputs.select_all(lines, inputs.LINES), inputs.COMPLETIONS)
     target = scratch_path(spark, "scores")
     query = stream_scoring.score_stream(
@@ -749,4 +749,4 @@ def stream_latest_metrics(spark, sf_dir):
         inputs.select_all(events, inputs.METRICS_LOG), target, scratch_path(spark, "progress"), once=True
     )
     query.awaitTermination()
-    return spark.read.parquet(target).select("run", *SUMMARY_METRICS)
+    return metrics_log.read_latest(spark, target).select("run", *SUMMARY_METRICS)

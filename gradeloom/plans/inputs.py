@@ -8,27 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.sources.datasets import spread_rows
+from gradeloom.operators.ordered import with_ordinal
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Columns that tell the rows of a table apart.
-_ROW_KEYS = {
-    "conversations": ("conv_id", "turn"),
-    "documents": ("doc_id",),
-    "events": ("event_id",),
-    "lineitem": ("l_orderkey", "l_linenumber"),
-    "pages": ("page_id",),
-}
-
-
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table whose rows are costly to work on, spread over all cores."""
-    return spread_rows(table(spark, sf_dir, name).select(*(columns or "*")), *_ROW_KEYS[name])
-
+    """Columns of a table, all by default."""
+    return table(spark, sf_dir, name).select(*(columns or "*"))
 
 
 # Order lines with their whole-number quantity as number and as text.
@@ -159,28 +148,27 @@ def preference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def question_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn with the assistant turn that follows it.
+    """Each user turn whose next turn in order is the assistant's, with that turn.
 
-    Turns are numbered without gaps, so the next turn is an equality on the key
-    ``(conv_id, turn)``: the join spreads over that key however long one
-    conversation is.
+    Turn numbers may have gaps. All turns are numbered in order, by ranges, and the next
+    one is then an equality on that number: the join spreads over it however long one
+    conversation is. The number of the user's turn is the ordinal.
     """
-    turns = table(spark, sf_dir, "conversations")
-    asked = turns.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question")
-    )
-    answered = turns.where(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.col("text").alias("solution")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    numbered = with_ordinal(turns, ["conv_id", "turn"])
+    asked = numbered.where(F.col("role") == "user").select(
+        "conv_id", "ord", (F.col("ord") + 1).alias("next"), F.col("text").alias("question")
     )
-    return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100_000 + F.col("turn") - 1).alias("ord"), "question", "solution"
+    answered = numbered.where(F.col("role") == "assistant").select(
+        "conv_id", F.col("ord").alias("next"), F.col("text").alias("solution")
     )
+    return asked.join(answered, ["conv_id", "next"]).select("ord", "question", "solution")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request log: documents as replies, the event of the same number as latency."""
+    """Request log: every event as latency, the document of the same number as reply."""
     documents = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("value").alias("latency_sec")
     )
-    return documents.join(events, "doc_id")
+    return events.join(documents, "doc_id", "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeloom import schemas
-from gradeloom.fixed import EVAL_MAX_SAMPLES, SUMMARY_METRICS, TRAINING_SYSTEM_PROMPT
+from gradeloom.fixed import CURVE_METRICS, SUMMARY_METRICS, TRAINING_SYSTEM_PROMPT
 from gradeloom.functions.prompts import rl_prompt
 from gradeloom.operators import evaluation, exports, runs
 from gradeloom.operators.limits import prefix_limit
@@ -34,9 +34,10 @@ class DataConfig:
 
     name: str
     train_split: str
-    eval_split: str
     train_path: str
     eval_path: str
+    # The train split when none is named.
+    eval_split: str | None = None
     config: str | None = None
     schema: T.StructType | str | None = None
     max_train: int | None = None
@@ -60,7 +61,7 @@ def _prepare(
 
     builders = {
         data.train_path: build(data.train_split, data.max_train),
-        data.eval_path: build(data.eval_split, data.max_eval),
+        data.eval_path: build(data.eval_split or data.train_split, data.max_eval),
     }
     tables = reuse_or_build(spark, builders, schema, data.reuse)
     return tables[data.train_path], tables[data.eval_path]
@@ -146,11 +147,12 @@ def evaluate_model(
     schema: T.StructType | str | None = None,
     question: str = "question",
     answer: str = "answer",
-    max_samples: int | None = EVAL_MAX_SAMPLES,
+    max_samples: int | None = None,
     ord_col: str = "ord",
 ) -> DataFrame:
     """Answer a dataset with the user's model and write rows and summary.
 
+    All rows are read unless ``max_samples`` says otherwise.
     Rows are written before they are summarised, so the model runs once. Returns the
     one-row summary.
     """
@@ -172,8 +174,13 @@ def evaluate_model(
 def compare_and_report(
     log: DataFrame, run_a: str, run_b: str, folder: str, title: str | None = None
 ) -> DataFrame:
-    """Write both runs' logs as CSV, their aligned curves and the Markdown report."""
+    """Write both runs' logs as CSV, their aligned curves and the Markdown report.
+
+    The curves are one CSV table with a row per step of either run, for the curve
+    metrics that the log has.
+    """
     steps = runs.logged_steps(log)
+    write_csv(runs.align_curves(log, run_a, run_b, CURVE_METRICS), f"{folder}/curves.csv")
     for name in (run_a, run_b):
         write_csv(steps.where(F.col("run") == name), f"{folder}/{name}_metrics.csv")
     comparison = runs.compare_runs(log, run_a, run_b, SUMMARY_METRICS)

@@ -116,12 +116,12 @@ COMPLETIONS = derived(LINES, inputs.COMPLETIONS)
 FORMS = derived(LINES, inputs.ANSWER_FORMS)
 SCORED = derived("events", inputs.SCORED_RESPONSES)
 LOG = derived("events", inputs.METRICS_LOG)
-TALKS = """(SELECT conv_id * 100000 + turn AS ord, text AS question, next_text AS solution
-    FROM (SELECT *, lead(text) OVER w AS next_text, lead(role) OVER w AS next_role
+TALKS = """(SELECT ord, text AS question, next_text AS solution
+    FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS ord, lead(text) OVER w AS next_text, lead(role) OVER w AS next_role
       FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
     WHERE role = 'user' AND next_role = 'assistant')"""
 REQUESTS = """(SELECT doc_id, text, lang, value AS latency_sec
-    FROM documents JOIN events ON event_id = doc_id)"""
+    FROM events LEFT JOIN documents ON event_id = doc_id)"""
 
 KEY = "l_orderkey, l_linenumber"
 
@@ -274,8 +274,8 @@ ORACLES: dict[str, str] = {
     "rl_prompts": f"""SELECT doc_id AS ord, {_RL_DOCS} AS prompt, {strip('lang')} AS answer,
         'answer,problem,question,target' AS raw_keys FROM documents""",
     "user_prompts": f"""SELECT doc_id, concat({quote(fixed.USER_PROMPT_LEAD)}, {strip('text')}) AS prompt,
-        (length({quote(fixed.TUTOR_SYSTEM_PROMPT)}) + 2 + length({quote(fixed.USER_PROMPT_LEAD)}) + length({strip('text')}))::INT
-          AS full_length FROM documents""",
+        concat({quote(fixed.TUTOR_SYSTEM_PROMPT)}, {NL}, {NL}, {quote(fixed.USER_PROMPT_LEAD)}, {strip('text')})
+          AS full_prompt FROM documents""",
     "sft_unified": f"SELECT *, 'talks' AS source, 'question,solution' AS raw_keys FROM {UNIFIED}",
     "pick_first": f"""SELECT ord, coalesce(nullif({strip('prompt')}, ''), {strip('question')}) AS picked,
         'none' AS not_text FROM {_RAW_PREFERENCES}""",
@@ -342,9 +342,9 @@ ORACLES: dict[str, str] = {
         SELECT name, region FROM nations c WHERE region < 3
           AND NOT EXISTS (SELECT 1 FROM nations n WHERE n.region > 1 AND n.name = c.name)
         UNION ALL SELECT name, region + 100 FROM nations WHERE region > 1""",
-    "unified_sources": f"""SELECT ord, prompt, answer, length(response)::INT AS length, 'talks' AS source FROM {UNIFIED}
+    "unified_sources": f"""SELECT ord, prompt, answer, response, 'talks' AS source FROM {UNIFIED}
         UNION ALL SELECT doc_id, {strip('source')}, {strip('lang')},
-        length({tutor(strip('text'), strip('lang'))})::INT, 'docs' FROM documents""",
+        {tutor(strip('text'), strip('lang'))}, 'docs' FROM documents""",
     "hash_split": """SELECT doc_id,
         CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 200 AS INT) AS validation
         FROM documents""",
@@ -360,7 +360,7 @@ ORACLES: dict[str, str] = {
     "csv_round_trip": f"SELECT run, ord, step, mean_reward FROM {LOG}",
     "export_chat": f"""SELECT 'system|user|assistant' AS roles, concat('{_SYSTEM}', '|', prompt, '|', response) AS contents,
         answer, 'talks' AS source FROM {UNIFIED}""",
-    "export_preference": f"SELECT prompt, chosen, rejected, answer, source FROM ({ranked_pairs(SCORED)})",
+    "export_preference": f"""SELECT prompt, chosen, rejected, answer, '{{"source":"' || source || '"}}' AS metadata FROM ({ranked_pairs(SCORED)})""",
     "export_instruction": f"""SELECT {_RL_DOCS} AS instruction, '' AS input, '' AS output, {strip('lang')} AS answer,
         'docs' AS source FROM documents""",
     "json_codec": """SELECT event_id, k, '{"k":' || k || ',"absent":null}' AS encoded

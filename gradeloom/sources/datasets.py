@@ -14,9 +14,6 @@ from gradeloom.runtime import path_exists
 from gradeloom.sources.jsonl import load_if_complete, read_jsonl
 
 _SPLIT_COLUMN = "split"
-# Scans of more tasks than this are never spread: at the usual split size the rows
-# moved stay below 8 GB.
-_MAX_SPREAD_TASKS = 64
 
 
 def _is_path(name: str) -> bool:
@@ -55,32 +52,17 @@ def load_dataset(
         options = [f"{base}/{split_name}{suffix}" for suffix in ("", ".parquet", ".jsonl", ".json")]
         found = next((path for path in options if path_exists(spark, path)), None)
         table = _read_path(spark, found or base, schema)
-        if found is None:
-            table = table.where(F.col(_SPLIT_COLUMN) == split_name)
     else:
         table = spark.table(f"{name}_{config}" if config else name)
-        if _SPLIT_COLUMN in table.columns:
-            table = table.where(F.col(_SPLIT_COLUMN) == split_name)
+        found = None
+    if found is None:
+        # Without the column every split would be the whole table.
+        if _SPLIT_COLUMN not in table.columns:
+            raise ValueError(f"{name} has no {_SPLIT_COLUMN!r} column to find split {split_name!r} by")
+        table = table.where(F.col(_SPLIT_COLUMN) == split_name)
     return table if start == 0 and stop is None else slice_rows(table, start, stop, ord_col)
 
 
-def is_small_scan(df: DataFrame) -> bool:
-    """True when a plain scan has fewer tasks than cores and is of bounded size."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.rdd.getNumPartitions() < min(cores, _MAX_SPREAD_TASKS + 1)
-
-
-def spread_rows(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a small scan over all cores; a larger table is returned as it is.
-
-    A file with few row groups is read by few tasks, and costly text work would then
-    leave most cores idle. ``keys`` with many values make the move cheaper than
-    dealing rows out in turn.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if is_small_scan(df) else df
-
-
 def stream_dataset(
     spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet", **options: str
 ) -> DataFrame:

@@ -10,9 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gradeloom.fixed import SUMMARY_METRICS
 from gradeloom.operators.runs import latest_metrics
+from gradeloom.runtime import child_names, is_complete
 from gradeloom.schemas import METRICS_LOG
 from gradeloom.sources.jsonl import append_jsonl
 
+_VERSION = "version="
+
 
 def append_metrics(rows: DataFrame, path: str, ord_col: str = "ord") -> str:
     """Add rows to a metrics log.
@@ -50,12 +53,13 @@ def follow_latest(
 ) -> StreamingQuery:
     """Keep a table of each run's latest metrics up to date while the log grows.
 
-    State is one fixed-size row per run. Each batch replaces the table, so a batch
-    that is run again after a failure leaves the same result.
+    State is one fixed-size row per run. Each batch writes a version of its own below
+    ``target``, so a reader of ``read_latest`` never sees half a table, and a batch that
+    is run again after a failure replaces its own version only.
     """
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/{_VERSION}{batch_id:012d}")
 
     writer = (
         latest_metrics(log, metrics, run, ord_col)
@@ -64,3 +68,12 @@ def follow_latest(
         .foreachBatch(replace)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_latest(spark: SparkSession, target: str) -> DataFrame:
+    """The newest complete version that ``follow_latest`` has written."""
+    names = [name for name in child_names(spark, target) if name.startswith(_VERSION)]
+    whole = [name for name in names if is_complete(spark, f"{target}/{name}")]
+    if not whole:
+        raise FileNotFoundError(f"no complete version below {target}")
+    return spark.read.parquet(f"{target}/{max(whole)}")

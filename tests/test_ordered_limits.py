@@ -4,13 +4,11 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gradeloom.operators import limits, ordered, pairs, runs
 
-CUT_AT = 20  # rows above which the tests treat a group as large
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One prompt with a third of the rows, a null prompt, and many equal scores."""
@@ -31,10 +29,9 @@ def groups_of(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [CUT_AT, 5, ordered.HOT_ROWS])
-def test_rank(skewed, hot_rows):
+def test_rank(skewed):
     df, rows = skewed
-    ranked = ordered.with_rank(df, ["prompt"], [-F.col("score"), F.col("ord")], hot_rows=hot_rows)
+    ranked = ordered.with_rank(df, ["prompt"], [-F.col("score"), F.col("ord")])
     assert ranked.columns == [*df.columns, "rank"]
     expected = {
         row[0]: position
@@ -46,29 +43,49 @@ def test_rank(skewed, hot_rows):
     assert {r.ord: r.rank for r in got} == expected
 
 
-def test_large_groups_are_cut_and_stay_in_order(skewed):
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges as small as large tables make them for their size."""
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_no_range_holds_a_whole_large_group(skewed, small_ranges):
     df, _ = skewed
-    groups = ordered.OrderedGroups(df, ["prompt"], [-F.col("score"), F.col("ord")], CUT_AT)
-    assert groups.is_cut
+    groups = ordered.OrderedGroups(df, ["prompt"], [-F.col("score"), F.col("ord")])
     sizes = groups.rows.where("prompt = 'hot'").groupBy("__order_range").agg(
         F.count("*").alias("n"), F.min("__order_key").alias("low"), F.max("__order_key").alias("high")
     ).orderBy("__order_range").collect()
-    assert len(sizes) > 5 and max(r.n for r in sizes) < 150
+    assert len(sizes) > 1 and max(r.n for r in sizes) < 300
     assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
 
 
-def test_more_cuts_than_one_fence(spark):
-    df = spark.range(3_000).select((F.col("id") * 11 % 3_000).alias("ord"), F.lit("k").alias("k"))
-    groups = ordered.OrderedGroups(df, ["k"], [F.col("ord")], 10)
-    assert groups.rows.select("__order_range").distinct().count() > 200
-    ranked = ordered.with_rank(df, ["k"], [F.col("ord")], hot_rows=10)
-    assert ranked.where("rank <> ord + 1").count() == 0 and ranked.count() == 3_000
+def test_many_equal_large_groups_and_one_group(spark, small_ranges):
+    df = spark.range(6_000).select((F.col("id") * 11 % 6_000).alias("ord"), (F.col("id") % 6).alias("k"))
+    ranked = ordered.with_rank(df, ["k"], [F.col("ord")])
+    largest = ordered.OrderedGroups(df, ["k"], [F.col("ord")]).rows.groupBy("__order_range").count().agg({"count": "max"})
+    assert largest.first()[0] < 1_000
+    place = F.row_number().over(Window.partitionBy("k").orderBy("ord"))
+    assert ranked.withColumn("want", place).where("rank <> want").count() == 0 and ranked.count() == 6_000
+    one = ordered.with_rank(df.withColumn("k", F.lit(None).cast("string")), ["k"], [F.col("ord")])
+    assert one.where("rank <> ord + 1").count() == 0 and one.count() == 6_000
+
+
+def test_keys_are_required(spark):
+    with pytest.raises(ValueError):
+        ordered.with_rank(spark.range(3), [], [F.col("id")])
+    with pytest.raises(ValueError):
+        ordered.with_group_values(spark.range(3), [], {"n": F.count("id")})
 
 
-@pytest.mark.parametrize("hot_rows", [CUT_AT, ordered.HOT_ROWS])
-def test_last_known(skewed, hot_rows):
+def test_last_known(skewed):
     df, rows = skewed
-    out = ordered.with_last_known(df, ["prompt"], [F.col("ord")], ["value"], hot_rows=hot_rows)
+    out = ordered.with_last_known(df, ["prompt"], [F.col("ord")], ["value"])
     expected = {}
     for group in groups_of(rows).values():
         last = None
@@ -78,11 +95,10 @@ def test_last_known(skewed, hot_rows):
     assert {r.ord: r.last_value for r in out.collect()} == expected
 
 
-@pytest.mark.parametrize("hot_rows", [2, ordered.HOT_ROWS])
-def test_median(skewed, hot_rows):
+def test_median(skewed):
     df, rows = skewed
     for column, index in (("score", 2), ("value", 3)):
-        out = ordered.exact_median(df, ["prompt"], column, "m", hot_rows).collect()
+        out = ordered.exact_median(df, ["prompt"], column, "m").collect()
         expected = {
             key: statistics.median(r[index] for r in group if r[index] is not None)
             for key, group in groups_of(rows).items()
@@ -91,10 +107,9 @@ def test_median(skewed, hot_rows):
         assert {r.prompt: r.m for r in out} == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("hot_rows", [CUT_AT, ordered.HOT_ROWS])
-def test_group_advantage(skewed, hot_rows):
+def test_group_advantage(skewed):
     df, rows = skewed
-    out = runs.group_advantage(df, reward="score", hot_rows=hot_rows).collect()
+    out = runs.group_advantage(df, reward="score").collect()
     assert len(out) == len(rows)
     for key, group in groups_of(rows).items():
         scores = [r[2] for r in group]
@@ -103,10 +118,12 @@ def test_group_advantage(skewed, hot_rows):
         assert mine == pytest.approx({r[0]: (r[2] - mean) / (deviation + 1e-4) for r in group})
 
 
-def test_ranking_without_large_groups_is_one_plain_window(skewed):
+def test_latency_reads_its_input_once(skewed):
     df, _ = skewed
-    plan = ordered.with_rank(df, ["prompt"], [F.col("ord")])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [") == 1 and "Join" not in plan
+    counted = df.select("prompt", F.col("score").alias("latency_sec"), F.lit("a b").alias("text"))
+    out = {r.prompt: r for r in runs.latency_summary(counted, by=("prompt",)).collect()}
+    assert out["hot"].repeats == 300 and out[None].repeats > 0
+    assert out["hot"].approx_tokens_per_sec == pytest.approx(2 / out["hot"].avg_latency_sec)
 
 
 def test_ordinal(spark):
@@ -136,6 +153,20 @@ def test_nth_ordinal(spark, values):
     assert limits.nth_ordinal(df, len(values) + 1) is None
 
 
+def test_ordinals_must_be_unique_and_known(spark):
+    repeated = spark.createDataFrame([(1,), (2,), (2,), (3,)], "ord int")
+    assert limits.nth_ordinal(repeated, 1) == 1
+    with pytest.raises(ValueError):
+        limits.prefix_limit(repeated, 2)
+    with pytest.raises(ValueError):
+        limits.prefix_limit(spark.createDataFrame([(1,), (None,)], "ord int"), 1)
+
+
+def test_narrow_ordinals_do_not_overflow(spark):
+    df = spark.createDataFrame([(-2_000_000_000,), (0,), (2_000_000_000,)], "ord int")
+    assert limits.nth_ordinal(df, 2) == 0
+
+
 def test_slices(spark):
     df = spark.createDataFrame([(v * 10,) for v in range(30)], "ord long").repartition(4)
 
@@ -171,6 +202,6 @@ def test_rank_responses_cut(spark):
     df = spark.range(300).select(
         F.col("id").alias("ord"), F.lit("p").alias("prompt"), (F.col("id") % 2).cast("double").alias("score_chosen")
     )
-    ranked = pairs.rank_responses(df, hot_rows=30)
+    ranked = pairs.rank_responses(df)
     expected = F.when(F.col("ord") % 2 == 1, (F.col("ord") + 1) / 2).otherwise(150 + F.col("ord") / 2 + 1)
     assert ranked.where(F.col("rank") != expected).count() == 0 and ranked.count() == 300

@@ -146,8 +146,9 @@ def test_flatten_turns(spark):
 def test_chat_template_hook(spark):
     def factory():
         class Tags:
-            def apply_chat_template(self, messages):
-                return "|".join(m["role"] + m["content"] for m in messages)
+            def apply_chat_template(self, messages, tokenize=True, add_generation_prompt=True):
+                text = "|".join(m["role"] + m["content"] for m in messages)
+                return [1, 2] if tokenize else text + "+cue" * add_generation_prompt
 
         return Tags()
 
@@ -159,13 +160,15 @@ def test_chat_template_hook(spark):
 def test_completion_text(spark):
     schema = T._parse_datatype_string(
         "s string, one struct<role:string,content:string>, many array<struct<content:string>>, "
-        "nested array<array<string>>, n int, b boolean, other struct<x:int>"
+        "nested array<array<string>>, n int, b boolean, other struct<x:int>, m map<string,string>, "
+        "ms array<map<string,string>>, d double, k map<string,int>"
     )
     df = spark.createDataFrame(
-        [("a", ("u", "b"), [("c",), ("",), (None,), ("d",)], [["e"], ["", "f"]], 5, True, (1,))], schema
+        [("a", ("u", "b"), [("c",), ("",), (None,), ("d",)], [["e"], ["", "f"]], 5, True, (1,),
+          {"role": "u", "content": "hi"}, [{"content": "x"}, {"role": "u"}], 1e16, {"x": 1})], schema
     )
     texts = df.select(*[prompts.completion_text(f.name, f.dataType).alias(f.name) for f in schema.fields]).first()
-    assert tuple(texts) == ("a", "b", "c\nd", "e\nf", "5", "True", "")
+    assert tuple(texts) == ("a", "b", "c\nNone\nd", "e\nf", "5", "True", "", "hi", "x", "1e+16", "")
 
 
 def test_safe_rate(values):

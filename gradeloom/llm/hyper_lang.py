@@ -29,7 +29,7 @@ UNKNOWN = "und"
 DIMENSIONS = 1024
 SLOTS = 128
 _SHARED = SLOTS - 27
-_DOCS, _CHARS = 256, 2_000_000
+_DOCS, _CHARS, _CODES = 256, 1_000_000, 4096
 
 
 @functools.cache
@@ -91,8 +91,12 @@ def text_vectors(found: list[np.ndarray], dimensions: int = DIMENSIONS) -> np.nd
     place[codes] = np.arange(len(codes), dtype=np.int32)
     rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
     counts = np.bincount(rows * max(len(codes), 1) + place[joined], minlength=len(found) * len(codes))
-    counts = counts.reshape(len(found), len(codes)).astype(np.float32)
-    return counts @ ngram_vectors(codes, dimensions).astype(np.float32)
+    counts = counts.reshape(len(found), len(codes))
+    total = np.zeros((len(found), dimensions), np.float32)
+    for at in range(0, len(codes), _CODES):
+        part = slice(at, at + _CODES)
+        total += counts[:, part].astype(np.float32) @ ngram_vectors(codes[part], dimensions).astype(np.float32)
+    return total
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -42,10 +42,10 @@ from gradeloom.runtime import scratch_path
 BLOCK, LANES = 512, 16
 FIT_PERCENT = 90
 END_ID = 0
-# Pieces whose ids a worker remembers; beyond that it starts anew.
-CACHE_PIECES = 1_500_000
+# Pieces whose ids a worker remembers of late, and as many from before that.
+CACHE_PIECES = 300_000
 _CHUNK_BLOCKS = 2048
-_CHUNK_BYTES = 2_000_000
+_CHUNK_BYTES = 1_000_000
 _HEADER, _TRAILER = struct.Struct("<4sII"), struct.Struct("<QQQQI4s")
 _BLOCK_HEAD = struct.Struct("<IHH")
 _MANIFEST = "part long, path string, n_docs long, n_ids long"
@@ -265,6 +265,7 @@ class PieceTokens:
         self.begins[[i for token, i in vocabulary.items() if token.startswith(_BLANK)]] = True
         self.line = self._encode(["\n"])[0]
         self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -301,7 +302,7 @@ class PieceTokens:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
+            self.older, self.pieces = self.pieces, {}
         sizes = np.array([len(t) for t in texts])
         if not sizes.any():
             return [b""] * len(texts)
@@ -321,7 +322,14 @@ class PieceTokens:
         names = [data[s:e] for s, e in zip(starts[first].tolist(), stops[first].tolist())]
         known = list(map(self.pieces.get, names))
         if None in known:
-            self._learn([name for name, ids in zip(names, known) if ids is None])
+            missing = []
+            for name in [name for name, ids in zip(names, known) if ids is None]:
+                ids = self.older.get(name)
+                if ids is None:
+                    missing.append(name)
+                else:
+                    self.pieces[name] = ids
+            self._learn(missing)
             known = list(map(self.pieces.__getitem__, names))
         ids = np.frombuffer(b"".join(known), "<u4")
         lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4

@@ -104,14 +104,23 @@ def normalize_rl(
     )
 
 
-def score_of(fields: Sequence[str], read) -> Column:
+def score_of(fields: Sequence[str], read, keys: Column | None = None) -> Column:
     """Score as a double, or the rating when there is no score.
 
-    A column cannot tell an absent field from a null one, so a null score also
-    falls back to the rating.
+    With the row's own field names in ``keys`` a score that is there but null stays
+    null. Without them an absent field cannot be told from a null one, so a null score
+    also falls back to the rating.
     """
-    present = [read(name).cast("double") for name in fixed.SCORE_FIELDS if name in fields]
-    return F.coalesce(*present) if present else F.lit(None).cast("double")
+    present = [name for name in fixed.SCORE_FIELDS if name in fields]
+    if not present:
+        return F.lit(None).cast("double")
+    values = [read(name).cast("double") for name in present]
+    if keys is None:
+        return F.coalesce(*values)
+    chosen = F.lit(None).cast("double")
+    for name, value in reversed(list(zip(present, values))):
+        chosen = F.when(F.array_contains(keys, name), value).otherwise(chosen)
+    return chosen
 
 
 def ranked_completions(completions: Column, item: T.StructType) -> Column:
@@ -121,9 +130,12 @@ def ranked_completions(completions: Column, item: T.StructType) -> Column:
     """
     texts = _string_fields(item, fixed.COMPLETION_TEXT_FIELDS)
 
+    def own_keys(part: Column) -> Column | None:
+        return part[RAW_KEYS] if RAW_KEYS in item.fieldNames() else None
+
     def entry(part: Column, position: Column) -> Column:
         return F.struct(
-            F.coalesce(score_of(item.fieldNames(), lambda name: part[name]), F.lit(0.0)).alias("score"),
+            F.coalesce(score_of(item.fieldNames(), lambda name: part[name], own_keys(part)), F.lit(0.0)).alias("score"),
             (-position).alias("back"),
             first_filled([strip(part[name]) for name in texts]).alias("text"),
         )
@@ -156,7 +168,8 @@ def normalize_rewards(
     raw = prefix_limit(df, limit, ord_col)
     item = _completion_item(raw)
     pair_fields = _string_fields(raw.schema, ("chosen", "rejected"))
-    extra = [score_of(raw.columns, F.col).alias("given_score")]
+    keys = F.col(RAW_KEYS) if RAW_KEYS in raw.columns else None
+    extra = [score_of(raw.columns, F.col, keys).alias("given_score")]
     if item is not None:
         extra.append(ranked_completions(F.col("completions"), item).alias("ranked"))
         extra.append(F.size("completions").alias("listed"))

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom import schemas
+from gradeloom import fixed, schemas
 from gradeloom.fixed import REQUIRED_SECTIONS, SUMMARY_METRICS
 from gradeloom.functions import answers, prompts, rewards, whitespace
 from gradeloom.operators import evaluation, exports, limits, normalize, ordered, pairs, runs, scoring, tables
-from gradeloom.plans import inputs
+from gradeloom.plans import inputs, jobs
 from gradeloom.plans.inputs import table, texts
 from gradeloom.runtime import scratch_path
 from gradeloom.sources import datasets, jsonl, reports
@@ -187,6 +187,21 @@ def model_scores(spark, sf_dir):
     )
 
 
+@registered
+def row_scorer(spark, sf_dir):
+    """The model part with a scorer that takes one response at a time."""
+
+    def factory():
+        class LengthScorer:
+            def score(self, prompt, response):
+                return (len(prompt) + 2 * len(response)) % 10 / 10
+
+        return LengthScorer()
+
+    scored = scoring.score_completions(inputs.completions(spark, sf_dir), answer="gold", scorer=factory)
+    return scored.select(*_LINE_KEY, F.round("rlaif_reward", 6).alias("rlaif_reward"))
+
+
 @registered
 def generated_completions(spark, sf_dir):
     """Completions by a user's model, here one that states the prompt's length."""
@@ -628,11 +643,67 @@ def ragged_jsonl(spark, sf_dir):
     lines = inputs.preference_rows(spark, sf_dir).select(F.to_json(F.struct("ord", "prompt", "question", "answer", "rating", "chosen")))
     path = scratch_path(spark, "ragged")
     lines.write.text(path)
-    df = jsonl.read_ragged_jsonl(spark, path, ("prompt", "question", "answer", "target"), ("ord",))
-    rl = normalize.normalize_rl(df.withColumn("ord", F.col("ord").cast("long")), "ragged")
+    df = jsonl.read_ragged_jsonl(spark, path, ("prompt", "question", "answer", "target"), whole_fields=("ord",))
+    rl = normalize.normalize_rl(df, "ragged")
     return rl.select("ord", "prompt", "answer", F.concat_ws(",", "metadata.raw_keys").alias("raw_keys"))
 
 
+@registered
+def ragged_rewards(spark, sf_dir):
+    """Preference objects with absent, null and present scores, alone and in lists."""
+    lines = table(spark, sf_dir, "events").select(F.expr(inputs.RAGGED_PREFERENCES))
+    path = scratch_path(spark, "ragged")
+    lines.write.text(path)
+    df = jsonl.read_ragged_jsonl(
+        spark, path, ("prompt", "response", "answer"), fixed.SCORE_FIELDS, ("ord",), completions=True
+    )
+    return _flat_records(normalize.normalize_rewards(df, "ragged"))
+
+
+@registered
+def records_source(spark, sf_dir):
+    """Rows held by the caller, numbered, with the events they name."""
+    held = [{"event_type": name, "weight": weight} for weight, name in enumerate(("view", "click", "absent"))]
+    rows = datasets.from_records(spark, held, "event_type string, weight long", "ord")
+    counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    return rows.join(counts, "event_type", "left")
+
+
+@registered
+def report_file(spark, sf_dir):
+    """The Markdown report written and read back line by line."""
+    comparison = runs.compare_runs(inputs.metrics_log(spark, sf_dir), "click", "view")
+    path = reports.write_report(runs.report_lines(comparison, "click", "view"), scratch_path(spark, "report"))
+    whole = spark.read.text(path, wholetext=True)
+    lines = whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("position", "line"))
+    return lines
+
+
+@registered
+def compare_job_curves(spark, sf_dir):
+    """The curves that the comparison of two runs writes."""
+    folder = scratch_path(spark, "comparison")
+    jobs.compare_and_report(inputs.metrics_log(spark, sf_dir), "click", "view", folder)
+    schema = ", ".join(["step long", *[f"{m}_{side} double" for m in ("mean_reward", "tokens_per_sec") for side in "ab"]])
+    return spark.read.schema(schema).option("header", True).csv(f"{folder}/curves.csv")
+
+
+@registered
+def registry_entries(spark, sf_dir):
+    """Two exports registered in turn; the second replaces entries and repeats one."""
+    path = scratch_path(spark, "registry")
+    # Five names.
+    names = [row["r_name"].lower() for row in table(spark, sf_dir, "region").orderBy("r_regionkey").collect()]
+    first = {f"{name}_train": f"{name}.jsonl" for name in names}
+    reports.register_datasets(spark, path, reports.registry_entries(spark, first, exports.CHAT_LAYOUT))
+    second = {f"{name}_train": f"{name}_pairs.jsonl" for name in names[2:]}
+    third = {f"{name}_train": f"{name}_last.jsonl" for name in names[4:]}
+    changes = [reports.registry_entries(spark, files, exports.PREFERENCE_LAYOUT).withColumn("at", F.lit(at)) for at, files in enumerate((second, third))]
+    reports.register_datasets(spark, path, changes[0].unionByName(changes[1]), order="at")
+    entries = reports.read_registry(spark, path)
+    return entries.select("name", "file_name", "formatting", F.coalesce(F.col("ranking"), F.lit(False)).cast("int").alias("ranking"))
+
+
 @registered
 def append_log(spark, sf_dir):
     """A log written in two appends and read as one table."""

@@ -113,6 +113,17 @@ PREFERENCE_ITEMS = (
 )
 
 
+# Ragged objects: a list with a score, a rating and a null score beside a rating; a null
+# score beside a rating; a rating alone; a score alone.
+RAGGED_PREFERENCES = """CONCAT('{"ord":', CAST(9007199254740992 + event_id AS STRING), ',"prompt":"user ', CAST(user_id AS STRING), '",',
+    CASE CAST(event_id % 4 AS INT)
+      WHEN 0 THEN CONCAT('"completions":[{"text":"a', CAST(event_id AS STRING), '","score":', CAST(CAST(FLOOR(value) AS BIGINT) AS STRING),
+        '},{"content":" b","rating":', CAST(user_id % 6 AS STRING), '},7,{"text":"c","score":null,"rating":5}]')
+      WHEN 1 THEN '"response":"one","score":null,"rating":3'
+      WHEN 2 THEN CONCAT('"response":"two","rating":', CAST(user_id % 10 AS STRING))
+      ELSE CONCAT('"response":" three ","answer":"x","score":"', CAST(CAST(FLOOR(value) AS BIGINT) AS STRING), '.5"') END, '}')"""
+
+
 def select_all(df: DataFrame, expressions: dict[str, str], *keep: str) -> DataFrame:
     return df.select(*keep, *[F.expr(text).alias(name) for name, text in expressions.items()])
 

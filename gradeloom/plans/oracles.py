@@ -247,6 +247,7 @@ ORACLES: dict[str, str] = {
     "scorer_text": f"SELECT {KEY}, concat('问题：', prompt, {NL}, {NL}, '回答：', response) AS text FROM {COMPLETIONS}",
     "model_scores": f"""SELECT {KEY}, round(m, 6) AS rlaif_reward,
         round(0.5::DOUBLE * c + 0.3::DOUBLE * m + 0.2::DOUBLE * f, 6) AS combined_reward FROM {_PARTS}""",
+    "row_scorer": f"""SELECT {KEY}, round(m, 6) AS rlaif_reward FROM {_PARTS}""",
     "generated_completions": f"""SELECT doc_id, source AS question, '' AS reference,
         concat('思路：a', {NL}, '答案：', length({_RL_DOCS})) AS prediction,
         CAST(length({_RL_DOCS}) AS VARCHAR) AS predicted_answer FROM documents""",
@@ -355,6 +356,23 @@ ORACLES: dict[str, str] = {
         array_to_string(list_filter(['answer', 'chosen', 'ord', 'prompt', 'question', 'rating'], lambda k:
           NOT (k = 'answer' AND answer IS NULL) AND NOT (k = 'chosen' AND chosen IS NULL)
           AND NOT (k = 'rating' AND rating IS NULL)), ',') AS raw_keys FROM {_RAW_PREFERENCES}""",
+    "ragged_rewards": """WITH e AS (SELECT event_id, concat('user ', user_id) AS prompt, event_id % 4 AS kind,
+            floor(value) AS s1, (user_id % 6)::DOUBLE AS s2, (user_id % 10)::DOUBLE AS given FROM events),
+        b AS (SELECT *, greatest(s1, s2, 0) AS high, least(s1, s2, 0) AS low FROM e)
+        SELECT 9007199254740992 + event_id AS ord, prompt,
+          CASE kind WHEN 0 THEN CASE WHEN s1 = high THEN 'a' || event_id WHEN s2 = high THEN 'b' ELSE 'c' END
+            WHEN 2 THEN 'two' ELSE 'three' END AS chosen,
+          CASE WHEN kind > 0 THEN '' WHEN low = 0 THEN 'c' WHEN s2 = low THEN 'b' ELSE 'a' || event_id END AS rejected,
+          CASE kind WHEN 3 THEN 'x' ELSE '' END AS answer,
+          CASE kind WHEN 0 THEN high WHEN 2 THEN given ELSE s1 + 0.5 END::DOUBLE AS score_chosen,
+          CASE kind WHEN 0 THEN low END::DOUBLE AS score_rejected, 'ragged' AS source
+        FROM b WHERE kind <> 1""",
+    "records_source": """SELECT event_type, weight, ord, events
+        FROM (VALUES ('view', 0::BIGINT, 0::BIGINT), ('click', 1, 1), ('absent', 2, 2)) r(event_type, weight, ord)
+        LEFT JOIN (SELECT event_type, count(*) AS events FROM events GROUP BY event_type) c USING (event_type)""",
+    "registry_entries": """SELECT lower(r_name) || '_train' AS name,
+        lower(r_name) || CASE WHEN r_regionkey < 2 THEN '' WHEN r_regionkey < 4 THEN '_pairs' ELSE '_last' END || '.jsonl' AS file_name,
+        CASE WHEN r_regionkey < 2 THEN 'sharegpt' ELSE 'alpaca' END AS formatting, CAST(r_regionkey >= 2 AS INT) AS ranking FROM region""",
     "reuse_or_build": f"""SELECT doc_id AS ord, concat({quote(fixed.RL_PROMPT_LEAD)}, {strip('source')}) AS prompt,
         {strip('lang')} AS answer, 'docs' AS source FROM documents""",
     "csv_round_trip": f"SELECT run, ord, step, mean_reward FROM {LOG}",
@@ -368,3 +386,7 @@ ORACLES: dict[str, str] = {
     "stream_scores": f"""SELECT {KEY}, predicted_answer,
         round(0.5::DOUBLE * c + 0.2::DOUBLE * f, 6) AS combined_reward FROM {_PARTS}""",
 }
+
+ORACLES["report_file"] = f"""SELECT CAST(row_number() OVER (ORDER BY position) - 1 AS INT) AS position, line
+    FROM ({ORACLES["report_lines"]})"""
+ORACLES["compare_job_curves"] = ORACLES["curves"]

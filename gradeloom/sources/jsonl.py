@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gradeloom import fixed
 from gradeloom.functions.whitespace import is_blank, strip
 from gradeloom.operators.normalize import RAW_KEYS
 from gradeloom.runtime import is_complete
@@ -65,13 +66,21 @@ def read_jsonl(
 
 
 def read_ragged_jsonl(
-    spark: SparkSession, path: str, text_fields: Sequence[str], number_fields: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    text_fields: Sequence[str],
+    number_fields: Sequence[str] = (),
+    whole_fields: Sequence[str] = (),
+    completions: bool = False,
 ) -> DataFrame:
     """JSON Lines whose objects differ in their fields.
 
     Each text field becomes a string column that is null unless the object holds a
-    string there, so a number is not mistaken for text. The object's own field names
-    go along and are what the normalisers record as the row's keys.
+    string there, so a number is not mistaken for text. Number fields become doubles
+    and whole fields 64-bit numbers; text that is no such number fails. The object's
+    own field names go along and are what the normalisers record as the row's keys.
+    ``completions`` adds the list of that name, whose objects keep their own field names
+    too, so that an absent score differs from a null one.
     """
     line = F.col(_LINE)
     listed = F.variant_get("doc", "$", "array<variant>")
@@ -82,18 +91,32 @@ def read_ragged_jsonl(
         .select("doc", F.when(one, F.json_object_keys(line)).otherwise(_reject(line)).alias(RAW_KEYS))
     )
 
-    def text(name: str) -> Column:
-        member = F.try_variant_get("doc", f"$[0]['{name}']", "variant")
+    def text(doc: Column, at: str, name: str) -> Column:
+        member = F.try_variant_get(doc, f"{at}['{name}']", "variant")
         return F.when(
             F.schema_of_variant(member) == "STRING",
-            F.try_variant_get("doc", f"$[0]['{name}']", "string"),
+            F.try_variant_get(doc, f"{at}['{name}']", "string"),
         ).alias(name)
 
-    def number(name: str) -> Column:
-        return F.try_variant_get("doc", f"$[0]['{name}']", "double").alias(name)
+    def number(doc: Column, at: str, name: str, kind: str) -> Column:
+        return F.variant_get(doc, f"{at}['{name}']", kind).alias(name)
+
+    def item(member: Column) -> Column:
+        return F.struct(
+            *[text(member, "$", name) for name in fixed.COMPLETION_TEXT_FIELDS],
+            *[number(member, "$", name, "double") for name in fixed.SCORE_FIELDS],
+            F.json_object_keys(F.to_json(member)).alias(RAW_KEYS),
+        )
 
+    doc = F.col("doc")
+    members = F.try_variant_get(doc, "$[0]['completions']", "array<variant>")
+    objects = F.filter(members, lambda member: F.startswith(F.schema_of_variant(member), F.lit("OBJECT")))
     return parsed.select(
-        *[text(name) for name in text_fields], *[number(name) for name in number_fields], RAW_KEYS
+        *[text(doc, "$[0]", name) for name in text_fields],
+        *[number(doc, "$[0]", name, "double") for name in number_fields],
+        *[number(doc, "$[0]", name, "long") for name in whole_fields],
+        *([F.transform(objects, item).alias("completions")] if completions else []),
+        RAW_KEYS,
     )
 
 

@@ -44,13 +44,15 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REGISTRY).parquet(f"{path}/{max(versions)}")
 
 
-def register_datasets(spark: SparkSession, path: str, entries: DataFrame) -> str:
-    """Put entries into the registry by name.
+def register_datasets(
+    spark: SparkSession, path: str, entries: DataFrame, order: str | None = None
+) -> str:
+    """Put entries into the registry by name; with ``order`` the last one of a name wins.
 
     Writes a new version beside the old ones, so a failed write changes nothing and
     a reader never sees half of one.
     """
-    changed = upsert(read_registry(spark, path), entries)
+    changed = upsert(read_registry(spark, path), entries, order=order)
     taken = [name for name in child_names(spark, path) if name.startswith(_VERSION)]
     number = max((int(name[len(_VERSION):]) for name in taken), default=0) + 1
     target = f"{path}/{_VERSION}{number:08d}"

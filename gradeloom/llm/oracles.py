@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gradeloom.llm import license_digest
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -147,3 +149,38 @@ ORACLES: dict[str, str] = {
     "op4_bbit_minhash": _NEAR,
     "op7_decontaminate": _LEAKS,
 }
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(line: str) -> str:
+    text = f"regexp_replace(lower({line}), '{license_digest.NOT_WORDS}', ' ', 'g')"
+    for pattern, one in license_digest.SPELLINGS:
+        text = f"regexp_replace({text}, '{pattern}', '{one}', 'g')"
+    return f"CASE WHEN regexp_matches(lower({line}), '{license_digest.COPYRIGHT_LINE}') THEN '' ELSE trim({text}) END"
+
+
+_LINES = f"list_filter(list_transform(string_split_regex(coalesce(text, ''), '{license_digest.BREAKS}'), lambda l: {_canonical('l')}), lambda l: l <> '')"
+_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, texts in license_digest.KNOWN.items() for text in texts)
+
+_LICENSES = f"""
+WITH known AS (
+    SELECT DISTINCT license, sha256(array_to_string({_LINES}, ' ')) AS digest FROM (VALUES {_KNOWN}) k(license, text)
+), docs AS (
+    SELECT doc_id, {_LINES} AS lines FROM documents
+), wholes AS (
+    SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_digest FROM docs
+), units AS (
+    SELECT doc_id, sha256(unnest(lines)) AS digest FROM docs
+), found AS (
+    SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n FROM units JOIN known USING (digest) GROUP BY doc_id
+), matched AS (
+    SELECT doc_id, string_agg(license, ',' ORDER BY license) AS text_license FROM wholes JOIN known ON digest = text_digest GROUP BY doc_id
+)
+SELECT doc_id, text_digest, text_license, line_licenses, coalesce(n, 0) AS n_license_lines
+FROM wholes LEFT JOIN found USING (doc_id) LEFT JOIN matched USING (doc_id)
+"""
+
+ORACLES["op8_license_digest"] = _LICENSES

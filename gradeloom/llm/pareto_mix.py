@@ -138,7 +138,10 @@ def mix_sources(
     preference=prefer_long,
     seed: str = "mix",
 ) -> DataFrame:
-    """All rows with __size, __source_size, __target, __copies (times the mix takes them)."""
+    """row (a struct of all columns), size, source_size, target and copies of every row.
+
+    ``copies`` is how many times the mix takes the row.
+    """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), _draw(id_col, seed).alias("u")
     ).withColumn("preference", preference("size"))
@@ -178,8 +181,14 @@ def mix_sources(
         )
         limits = stored(_closed(limits, _with_source(marked, stored(gaps, "mix-gaps")), fill), "mix-limits")
 
-    mine = {"id": F.col(id_col), "source": F.col(source_col), "size": F.col("__size"), "u": _draw(id_col, seed)}
-    return _decided(docs, mine, text_col, preference, limits, max_copies, selected | is_filled)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(
+        row, F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), _draw(id_col, seed).alias("u")
+    ).withColumn("preference", preference("size"))
+    # The decision needs the small table of limits only.
+    decided = _ranked(_with_source(keyed, limits), max_copies)
+    copies = F.coalesce(F.col("whole") + F.when(selected | is_filled, 1).otherwise(0), F.lit(0)).cast("long")
+    return decided.select("row", "size", "source_size", "target", copies.alias("copies"))
 
 
 def _key_type(df: DataFrame) -> str:
@@ -193,20 +202,7 @@ def _closed(limits: DataFrame, marked: DataFrame, fill: str) -> DataFrame:
     return _with_source(limits.drop(fill), best).withColumnRenamed("new", fill)
 
 
-def _decided(docs, mine, text_col, preference, limits, max_copies, chosen) -> DataFrame:
-    """The documents with their decision, from the small table of limits only."""
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), word_count(text_col).alias("__size"), *[
-        value.alias(name) for name, value in mine.items() if name != "size"
-    ]).withColumn("size", F.col("__size")).withColumn("preference", preference("size"))
-    marked = _ranked(_with_source(kept, limits), max_copies)
-    copies = F.coalesce(F.col("whole") + F.when(chosen, 1).otherwise(0), F.lit(0)).cast("long")
-    return marked.select("__row", "__size", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), copies.alias("__copies")).select(
-        "__row.*", "__size", "__source_size", "__target", "__copies"
-    )
-
-
 def repeated(mixed: DataFrame) -> DataFrame:
     """The mix itself: every row as many times as it is taken."""
-    drop = [c for c in mixed.columns if c.startswith("__")]
-    taken = mixed.where(F.col("__copies") > 0)
-    return taken.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop("__n", *drop)
+    taken = mixed.where(F.col("copies") > 0)
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

@@ -33,11 +33,7 @@ def op1_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = pareto_mix.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select(
-        "doc_id",
-        F.col("__size").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        (F.col("__copies") * F.col("__size")).alias("taken"),
+        "row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 

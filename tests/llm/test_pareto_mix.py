@@ -12,7 +12,8 @@ def words(n):
 
 
 def rows_of(df):
-    return [r.asDict() for r in df.collect()]
+    """Decisions with the columns of their rows, apart from clashing ones."""
+    return [{**r["row"].asDict(), **r.asDict()} for r in df.collect()]
 
 
 def test_targets_stop_at_the_limit_and_reshare(spark):
@@ -31,13 +32,13 @@ def test_words_come_near_targets_and_reruns_agree(spark):
     assert sorted(map(str, first)) == sorted(map(str, rows_of(mix_sources(docs.repartition(7)))))
     taken, target = defaultdict(int), {}
     for r in first:
-        assert 0 <= r["__copies"] <= 3
-        assert r["__size"] == len((r["text"] or "").split())
-        taken[r["source"]] += r["__copies"] * r["__size"]
-        target[r["source"]] = r["__target"]
+        assert 0 <= r["copies"] <= 3
+        assert r["size"] == len((r["text"] or "").split())
+        taken[r["source"]] += r["copies"] * r["size"]
+        target[r["source"]] = r["target"]
     for source, want in target.items():
         assert abs(taken[source] - want) <= 90
-    assert sum(target.values()) == pytest.approx(sum(r["__size"] for r in first))
+    assert sum(target.values()) == pytest.approx(sum(r["size"] for r in first))
 
 
 def test_nulls_empty_texts_and_repeated_rows(spark):
@@ -46,11 +47,11 @@ def test_nulls_empty_texts_and_repeated_rows(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     mixed = rows_of(mix_sources(docs))
     assert len(mixed) == len(rows)
-    assert {r["__size"] for r in mixed if r["doc_id"] in (1, 2)} == {0}
-    assert len({r["__copies"] for r in mixed if r["doc_id"] == 4}) == 1
+    assert {r["size"] for r in mixed if r["doc_id"] in (1, 2)} == {0}
+    assert len({r["copies"] for r in mixed if r["doc_id"] == 4}) == 1
     out = repeated(mix_sources(docs))
     assert out.columns == docs.columns
-    assert out.count() == sum(r["__copies"] for r in mixed)
+    assert out.count() == sum(r["copies"] for r in mixed)
 
 
 def test_empty_table(spark):
@@ -61,5 +62,5 @@ def test_inclusion_follows_preference(spark):
     """Fragments are taken about half as often as long documents."""
     rows = [(i, words(10 if i % 2 else 100), "en", "ab"[i % 7 == 0], "") for i in range(4000)]
     mixed = rows_of(mix_sources(spark.createDataFrame(rows, SCHEMA)))
-    mean = {s: sum(r["__copies"] for r in mixed if r["__size"] == s and r["source"] == "a") for s in (10, 100)}
+    mean = {s: sum(r["copies"] for r in mixed if r["size"] == s and r["source"] == "a") for s in (10, 100)}
     assert mean[10] / mean[100] == pytest.approx(0.5, abs=0.06)

@@ -228,8 +228,8 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     sampled = texts.join(sized(chosen, sample), "doc_id")
     kind = texts.schema["doc_id"].dataType.simpleString()
     found = sampled.select("doc_id", "text").mapInArrow(_sample_features, f"doc_id {kind}, pattern int, buckets array<int>, shares array<float>")
-    # The sample's size bounds this one task.
-    fitted = found.withColumn("h", F.xxhash64(F.lit(17), "doc_id")).drop("doc_id").coalesce(1).mapInPandas(_fit(chances), "weights array<double>")
+    # Features are made where the texts are; the sample's size bounds the one task that fits.
+    fitted = found.withColumn("h", F.xxhash64(F.lit(17), "doc_id")).drop("doc_id").repartition(1).mapInPandas(_fit(chances), "weights array<double>")
     row = fitted.first() if chances else None
     weights = np.array(row["weights"]) if row else np.zeros(BUCKETS + 1)
     scored = texts.mapInArrow(_score(weights, chances), f"doc_id {kind}, n_votes long, posterior double, score double")

@@ -45,11 +45,12 @@ def test_nulls_empty_texts_and_repeated_rows(spark):
     rows = [(1, None, None, None, ""), (2, "", "en", None, ""), (None, words(9), "en", "a", ""), (3, words(400), None, "a", "")]
     rows += [(4, words(30), "en", "b", "")] * 3 + [(5, " x\ty", "en", "only blank source", "")]
     docs = spark.createDataFrame(rows, SCHEMA)
-    mixed = rows_of(mix_sources(docs))
+    mix = mix_sources(docs)
+    mixed = rows_of(mix)
     assert len(mixed) == len(rows)
     assert {r["size"] for r in mixed if r["doc_id"] in (1, 2)} == {0}
     assert len({r["copies"] for r in mixed if r["doc_id"] == 4}) == 1
-    out = repeated(mix_sources(docs))
+    out = repeated(mix)
     assert out.columns == docs.columns
     assert out.count() == sum(r["copies"] for r in mixed)
 

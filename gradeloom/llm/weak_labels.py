@@ -29,6 +29,9 @@ from gradeloom.llm.common import mixed, sized, stored, word_hashes
 SAMPLE = 20_000
 BUCKETS = 1 << 14
 KEEP_LEAST = 0.45
+# Known beforehand: on bad documents a heuristic votes bad on a kind of its own, and clean
+# text hardly ever gets a bad vote.
+LEAST_ACCURACY = (0.1, 0.999)
 GOOD, BAD, NONE = 1, 0, 2
 LABELLERS = ("symbols", "capitals", "same_word", "variety", "sentences", "word_length", "same_line", "bare_signs")
 _ROUNDS, _STEPS = 200, 300
@@ -124,14 +127,17 @@ def _digits(patterns: np.ndarray) -> np.ndarray:
     return np.stack([patterns // 3 ** (n - 1 - i) % 3 for i in range(n)], axis=1)
 
 
-def estimate_labels(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def estimate_labels(
+    patterns: np.ndarray, counts: np.ndarray, least: tuple[float, float] = (0.0, 0.0)
+) -> tuple[np.ndarray, np.ndarray, float]:
     """Chance of good per pattern, accuracies (labeller, class) and share of good.
 
     The accuracy of a labeller for a class is the chance that its vote, if it votes, is
     right. A missing vote says nothing: heuristics pass over short documents, which are
     not worse for it. Expectation-maximisation starts from the belief that a document
     with any bad vote is bad, since kinds of bad documents differ and each labeller sees
-    few of them. One pseudo-count each keeps unseen votes possible.
+    few of them. One pseudo-count each keeps unseen votes possible. ``least`` holds
+    the accuracies on bad and on good documents that the labellers are known to have.
     """
     given = _digits(patterns)
     accuracy = np.empty((len(LABELLERS), 2))
@@ -144,6 +150,7 @@ def estimate_labels(patterns: np.ndarray, counts: np.ndarray) -> tuple[np.ndarra
             for kind in (BAD, GOOD):
                 right, voted = in_class[kind][given[:, i] == kind].sum(), in_class[kind][given[:, i] != NONE].sum()
                 accuracy[i, kind] = (right + 1) / (voted + 2)
+            accuracy[i] = np.maximum(accuracy[i], least)
         log_odds = np.full(len(patterns), np.log(share) - np.log(1 - share))
         for i in range(len(LABELLERS)):
             log_odds += np.where(given[:, i] == GOOD, np.log(accuracy[i, GOOD]) - np.log(1 - accuracy[i, BAD]), 0)
@@ -219,7 +226,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     patterns = stored(texts.mapInArrow(_patterns, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, pattern int"), "labels-patterns")
     # At most 3**8 rows.
     counted = patterns.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").toPandas()
-    good, _, _ = estimate_labels(counted["pattern"].to_numpy(np.int64), counted["n"].to_numpy(np.float64))
+    good, _, _ = estimate_labels(counted["pattern"].to_numpy(np.int64), counted["n"].to_numpy(np.float64), LEAST_ACCURACY)
     chances = {int(p): float(g) for p, g in zip(counted["pattern"], good)}
 
     draw = F.xxhash64(F.lit(17), "doc_id").alias("h")

@@ -40,6 +40,11 @@ def _match(text: Column, pattern: str, position: int = 1) -> Column:
     return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(position))
 
 
+def _heading(text: Column, pattern: str) -> Column:
+    """Group 1 of the first match, which is never empty; null when nothing matches."""
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+
+
 def extract_final_answer(text: ColumnOrName) -> Column:
     """Answer of a completion.
 
@@ -49,10 +54,10 @@ def extract_final_answer(text: ColumnOrName) -> Column:
     """
     body = F.coalesce(as_column(text), F.lit(""))
     boxed = F.when(F.contains(body, F.lit(_BOX_OPEN)), _match(body, _BOX, -1))
-    headed = F.when(F.contains(body, F.lit(_ANSWER_WORD)), _match(body, _ANSWER_HEADING))
+    headed = F.when(F.contains(body, F.lit(_ANSWER_WORD)), _heading(body, _ANSWER_HEADING))
     return F.coalesce(
         strip(boxed),
-        first_line(strip(F.coalesce(headed, _match(body, _FINAL_ANSWER)))),
+        first_line(strip(F.coalesce(headed, _heading(body, _FINAL_ANSWER)))),
         F.btrim(last_line(strip(body)), F.lit(_FULL_STOPS)),
     )
 
@@ -66,8 +71,8 @@ def extract_source_answer(text: ColumnOrName) -> Column:
     """
     body = F.coalesce(as_column(text), F.lit(""))
     boxed = F.when(F.contains(body, F.lit("{")), _match(body, "(?iu)" + _BOX))
-    headed = F.when(F.contains(body, F.lit(_ANSWER_WORD)), _match(body, _ANSWER_HEADING))
-    captured = F.coalesce(boxed, headed, _match(body, _FINAL_ANSWER))
+    headed = F.when(F.contains(body, F.lit(_ANSWER_WORD)), _heading(body, _ANSWER_HEADING))
+    captured = F.coalesce(boxed, headed, _heading(body, _FINAL_ANSWER))
     return F.coalesce(F.btrim(strip(captured), F.lit(_FULL_STOPS)), last_line(strip(body)))
 
 

@@ -47,6 +47,8 @@ def is_validation(key: str, ratio: float) -> Column:
     """True for the share ``ratio`` of keys that go to the validation side."""
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must lie between 0 and 1")
+    if 0 < ratio < 0.5 / _SPLIT_SLOTS:
+        raise ValueError(f"a ratio below {0.5 / _SPLIT_SLOTS} would give an empty side")
     return split_slot(key) < F.lit(round(ratio * _SPLIT_SLOTS))
 
 

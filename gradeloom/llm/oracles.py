@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gradeloom.llm import license_digest
+from gradeloom.llm import license_digest, secret_links
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -184,3 +184,61 @@ FROM wholes LEFT JOIN found USING (doc_id) LEFT JOIN matched USING (doc_id)
 """
 
 ORACLES["op8_license_digest"] = _LICENSES
+
+
+def _found(kind: str, pattern: str, group: int = 0) -> str:
+    quoted = _quoted(pattern)
+    return f"""SELECT rid, '{kind}' AS found, string_split_regex(t, {quoted}) AS g,
+        regexp_extract_all(t, {quoted}, 0) AS x, regexp_extract_all(t, {quoted}, {group}) AS c FROM d"""
+
+
+_SECRETS = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), m AS (
+    {_found('assign', secret_links.ASSIGN, 2)}
+    UNION ALL {_found('access', secret_links.ACCESS)}
+    UNION ALL {_found('hex', secret_links.HEX)}
+    UNION ALL {_found('name', secret_links.NAME)}
+    UNION ALL {_found('endpoint', secret_links.ENDPOINT)}
+), p AS (
+    SELECT rid, found, unnest(range(1, len(x) + 1)) AS i, unnest(g[1:len(x)]) AS gap, unnest(x) AS hit, unnest(c) AS core FROM m
+), q AS (
+    SELECT rid, found, length(core) AS core, length(hit) AS size,
+        CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY rid, found ORDER BY i) AS BIGINT) AS stop
+    FROM p
+), parts AS (
+    SELECT rid, stop - size AS start, stop, CASE
+        WHEN found = 'hex' THEN 'hex'
+        WHEN found = 'assign' AND core >= {secret_links.ASSIGN_LEAST} THEN 'assign'
+        WHEN found = 'access' AND core >= {secret_links.ACCESS_LEAST} THEN 'access'
+        WHEN found = 'assign' AND core >= {secret_links.WEAK_ASSIGN_LEAST} THEN 'link_secret'
+        WHEN found = 'name' OR found = 'access' AND core >= {secret_links.WEAK_ACCESS_LEAST} THEN 'link_id'
+        WHEN found = 'endpoint' THEN 'link_endpoint' END AS kind
+    FROM q
+), near AS (
+    SELECT w.rid, w.start, w.stop, w.kind,
+        bool_or(o.kind IN ('access', 'link_id')) AS id,
+        bool_or(o.kind IN ('assign', 'hex', 'link_secret')) AS secret,
+        bool_or(o.kind = 'link_endpoint') AS endpoint
+    FROM parts w JOIN parts o ON w.rid = o.rid AND abs(w.start - o.start) <= {secret_links.REACH}
+    WHERE starts_with(w.kind, 'link_') GROUP BY ALL
+), kept AS (
+    SELECT rid, start, stop, kind FROM parts WHERE NOT starts_with(kind, 'link_')
+    UNION ALL SELECT rid, start, stop, kind FROM near
+    WHERE CASE kind WHEN 'link_id' THEN secret WHEN 'link_secret' THEN id OR endpoint ELSE id AND secret END
+), named AS (
+    SELECT *, kind || ':' || start || ':' || stop AS span,
+        list_position(['assign', 'access', 'hex', 'link_id', 'link_secret', 'link_endpoint'], kind) AS place FROM kept
+), listed AS (
+    SELECT rid, string_agg(span, ',' ORDER BY start, place, stop) AS spans,
+        string_agg(span, ',' ORDER BY start, place, stop) FILTER (NOT starts_with(kind, 'link_')) AS base,
+        count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex
+    FROM named GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (rid)
+"""
+
+ORACLES["op3_secret_links"] = _SECRETS

@@ -2,8 +2,8 @@
 
 Eight heuristics look at a document and vote good, bad or nothing. Their votes overlap
 and some are often wrong; expectation-maximisation estimates, over all documents, how
-likely each gives each vote for good and for bad documents, and with that the chance that
-a document is good. As only the pattern of the eight votes matters, it works on counts
+likely each gives each vote for good documents and for each kind of bad ones, and with
+that the chance that a document is good. No accuracy is fixed. As only the pattern of the eight votes matters, it works on counts
 of at most 3**8 patterns. These chances are then the labels of a hashed linear scorer: a
 logistic function of hashed word shapes, pairs of shapes and repetitions, fitted on at
 most ``SAMPLE`` documents chosen by a hash of their id. The scorer decides.
@@ -29,12 +29,18 @@ from gradeloom.llm.common import mixed, sized, stored, word_hashes
 SAMPLE = 20_000
 BUCKETS = 1 << 14
 KEEP_LEAST = 0.45
-# Known beforehand: on bad documents a heuristic votes bad on a kind of its own, and clean
-# text hardly ever gets a bad vote.
-LEAST_ACCURACY = (0.1, 0.999)
+# Beta priors as votes seen beforehand: (right, wrong) of a heuristic with a kind of its own
+# on good documents, worth 1000 of them, and either vote of the others on a kind of junk. They
+# decide only where a lone bad vote may as well be an error as a kind of junk.
+GOOD_PRIOR, KIND_PRIOR = (999.0, 1.0), 0.1
 GOOD, BAD, NONE = 1, 0, 2
 LABELLERS = ("symbols", "capitals", "same_word", "variety", "sentences", "word_length", "same_line", "bare_signs")
+# Heuristics that look for a sort of junk of their own. How lines end tells no sort by itself.
+KINDS = tuple(name for name in LABELLERS if name != "sentences")
 _ROUNDS, _STEPS = 200, 300
+# What may follow the end of a sentence, and ends in other scripts.
+_CLOSERS = "\"'”’»›)]}」』】）"
+_ENDS = tuple(c.encode() for c in ".!?…。！？．｡؟۔।॥։።")
 
 
 def _classes() -> np.ndarray:
@@ -57,6 +63,11 @@ def _vote(value: float, good: bool, bad: bool) -> int:
     return GOOD if good else BAD if bad else NONE
 
 
+def _ends_sentence(line: bytes) -> bool:
+    """True if a line ends as a sentence does, closing quotes and brackets aside."""
+    return line[-200:].decode("utf-8", "ignore").rstrip().rstrip(_CLOSERS).rstrip().encode().endswith(_ENDS)
+
+
 def votes(data: bytes, words: np.ndarray) -> list[int]:
     """The heuristics' votes on an encoded text with the hashes of its words."""
     n = len(words)
@@ -70,7 +81,7 @@ def votes(data: bytes, words: np.ndarray) -> list[int]:
     again = np.count_nonzero(words[1:] == words[:-1]) / n
     variety = len(np.unique(words)) / n
     lines = [line for line in data.split(b"\n") if line.strip()]
-    ended = sum(line.rstrip()[-1:] in b".!?" for line in lines) / max(len(lines), 1)
+    ended = sum(map(_ends_sentence, lines)) / max(len(lines), 1)
     length = letters / n
     same_line = 1 - len(set(lines)) / max(len(lines), 1)
     bare = sum(data.count(sign) for sign in (b" | ", b" - ", b" * ")) / n
@@ -128,38 +139,52 @@ def _digits(patterns: np.ndarray) -> np.ndarray:
 
 
 def estimate_labels(
-    patterns: np.ndarray, counts: np.ndarray, least: tuple[float, float] = (0.0, 0.0)
+    patterns: np.ndarray, counts: np.ndarray, kinds: tuple[str, ...] = (), good_prior: tuple[float, float] = (1.0, 1.0)
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Chance of good per pattern, accuracies (labeller, class) and share of good.
 
     The accuracy of a labeller for a class is the chance that its vote, if it votes, is
     right. A missing vote says nothing: heuristics pass over short documents, which are
     not worse for it. Expectation-maximisation starts from the belief that a document
-    with any bad vote is bad, since kinds of bad documents differ and each labeller sees
-    few of them. One pseudo-count each keeps unseen votes possible. ``least`` holds
-    the accuracies on bad and on good documents that the labellers are known to have.
+    with any bad vote is bad. One pseudo-count each keeps unseen votes possible.
+
+    Kinds of bad documents differ and each labeller sees few of them. So with ``kinds`` there
+    is a class of bad documents for each of these labellers: the junk that it votes bad,
+    whatever the others say. A document without such a vote is good, one with several is
+    shared among their classes and the good one. All other chances are estimated, for the
+    good class from ``good_prior``; the accuracy on bad documents is that over all kinds.
     """
     given = _digits(patterns)
-    accuracy = np.empty((len(LABELLERS), 2))
-    good = np.where((given == BAD).any(1), 0.05, 0.95)
-    share = 0.5
+    said_good, said_bad = (given == GOOD).astype(float), (given == BAD).astype(float)
+    own = [LABELLERS.index(name) for name in kinds]
+    # Where each class of bad documents is possible.
+    open_to = said_bad[:, own] if kinds else np.ones((len(patterns), 1))
+    suspect = said_bad[:, own].any(1) if kinds else said_bad.any(1)
+    good = np.where(suspect, 0.05, 1.0 if kinds else 0.95)
+    belief = np.column_stack([good, (1 - good)[:, None] * open_to / np.maximum(open_to.sum(1, keepdims=True), 1)])
+    classes = belief.shape[1]
+    prior_good = np.full((classes, len(LABELLERS)), KIND_PRIOR if kinds else 1.0)
+    prior_bad = prior_good.copy()
+    prior_good[0], prior_bad[0] = 1.0, 1.0
+    prior_good[0, own], prior_bad[0, own] = good_prior
+    with np.errstate(divide="ignore"):
+        possible = np.column_stack([np.zeros(len(patterns)), np.log(open_to)])
     for _ in range(_ROUNDS):
-        share = float((good @ counts + 1) / (counts.sum() + 2))
-        in_class = (counts * (1 - good), counts * good)
-        for i in range(len(LABELLERS)):
-            for kind in (BAD, GOOD):
-                right, voted = in_class[kind][given[:, i] == kind].sum(), in_class[kind][given[:, i] != NONE].sum()
-                accuracy[i, kind] = (right + 1) / (voted + 2)
-            accuracy[i] = np.maximum(accuracy[i], least)
-        log_odds = np.full(len(patterns), np.log(share) - np.log(1 - share))
-        for i in range(len(LABELLERS)):
-            log_odds += np.where(given[:, i] == GOOD, np.log(accuracy[i, GOOD]) - np.log(1 - accuracy[i, BAD]), 0)
-            log_odds += np.where(given[:, i] == BAD, np.log(1 - accuracy[i, GOOD]) - np.log(accuracy[i, BAD]), 0)
-        new = 1 / (1 + np.exp(-np.clip(log_odds, -700, 700)))
-        moved, good = np.abs(new - good).max(initial=0), new
+        weight = belief * counts[:, None]
+        share = (weight.sum(0) + 1) / (counts.sum() + classes)
+        votes_good, votes_bad = weight.T @ said_good + prior_good, weight.T @ said_bad + prior_bad
+        says_good = votes_good / (votes_good + votes_bad)
+        log_good, log_bad = np.log(says_good), np.log(votes_bad / (votes_good + votes_bad))
+        # The vote that defines a kind is no evidence within it.
+        log_good[np.arange(1, len(own) + 1), own] = log_bad[np.arange(1, len(own) + 1), own] = 0
+        log = np.log(share) + said_good @ log_good.T + said_bad @ log_bad.T + possible
+        new = np.exp(log - log.max(1, initial=-np.inf, keepdims=True))
+        new /= new.sum(1, keepdims=True)
+        moved, belief = np.abs(new - belief).max(initial=0), new
         if moved < 1e-6:
             break
-    return good, accuracy, share
+    of_bad = share[1:] / share[1:].sum()
+    return belief[:, 0], np.column_stack([of_bad @ (1 - says_good[1:]), says_good[0]]), float(share[0])
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,13 +251,14 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     patterns = stored(texts.mapInArrow(_patterns, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, pattern int"), "labels-patterns")
     # At most 3**8 rows.
     counted = patterns.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").toPandas()
-    good, _, _ = estimate_labels(counted["pattern"].to_numpy(np.int64), counted["n"].to_numpy(np.float64), LEAST_ACCURACY)
+    good, _, _ = estimate_labels(counted["pattern"].to_numpy(np.int64), counted["n"].to_numpy(np.float64), KINDS, GOOD_PRIOR)
     chances = {int(p): float(g) for p, g in zip(counted["pattern"], good)}
 
     draw = F.xxhash64(F.lit(17), "doc_id").alias("h")
     chosen = patterns.where(F.col("doc_id").isNotNull()).select("doc_id", draw).distinct().orderBy("h", "doc_id").limit(sample)
     chosen = stored(chosen, "labels-sample")
-    sampled = texts.join(sized(chosen, sample), "doc_id")
+    # One row of each id, whichever order they come in: a repeated id is one draw.
+    sampled = texts.join(sized(chosen.select("doc_id"), sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     found = sampled.select("doc_id", "text").mapInArrow(_sample_features, f"doc_id {kind}, pattern int, buckets array<int>, shares array<float>")
     # Features are made where the texts are; the sample's size bounds the one task that fits.

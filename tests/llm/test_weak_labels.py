@@ -69,3 +69,63 @@ def test_empty_table_and_missing_votes(spark):
     assert votes(b"", word_hashes(b"")) == [NONE] * len(LABELLERS)
     text = b"LOUD WORDS EVERYWHERE NOW"
     assert BAD in votes(text, word_hashes(text))
+
+
+def test_expectation_maximisation_as_classify_uses_it():
+    """Junk of several sorts; on good documents 'sentences' errs in a tenth, all others rarely."""
+    from gradeloom.llm.weak_labels import GOOD_PRIOR, KINDS
+
+    pick, n = np.random.default_rng(5), 40_000
+    truth, sort = pick.random(n) < 0.8, pick.integers(0, 4, n)
+    ending = LABELLERS.index("sentences")
+    wrong = np.where(np.arange(len(LABELLERS)) == ending, 0.1, 0.004)
+    sees = np.full((4, len(LABELLERS)), 0.02)
+    for i, name in enumerate(("symbols", "capitals", "same_word", "bare_signs")):
+        sees[i, LABELLERS.index(name)] = 0.95
+    sees[:, ending] = 0.6
+    bad_vote = pick.random((n, len(LABELLERS))) < np.where(truth[:, None], wrong, sees[sort])
+    codes, inverse, counts = np.unique((~bad_vote).astype(int) @ 3 ** np.arange(len(LABELLERS))[::-1], return_inverse=True, return_counts=True)
+    good, found, share = estimate_labels(codes, counts.astype(float), KINDS, GOOD_PRIOR)
+    assert abs(share - 0.8) < 0.05 and abs(found[ending, 1] - 0.9) < 0.02
+    by_code = dict(zip(codes, good))
+    assert by_code[sum(3**i for i in range(8)) - 3 ** (7 - ending)] > 0.9
+    assert ((good[inverse] > 0.5) == truth).mean() > 0.95
+
+
+def test_ends_in_quotes_brackets_and_other_scripts():
+    ending = LABELLERS.index("sentences")
+    body = "some plain words that stand in one line " * 4
+    for end in ('said so."', "said so.)", "said so.\u201d", "said so\u3002", "said so\u0964", "said so\u2026"):
+        text = (body + end).encode()
+        assert votes(text, word_hashes(text))[ending] == 1, end
+    text = (body + "said so").encode()
+    assert votes(text, word_hashes(text))[ending] == BAD
+
+
+def test_repeated_ids_are_fitted_once(spark):
+    """One id a hundred times is one document of the sample, whatever else stands there."""
+    pick = random.Random(6)
+    rows = [(i, junk(pick, 80) if i % 4 == 0 else prose(pick, 80), "", 0) for i in range(80)]
+    once = {r["doc_id"]: r["posterior"] is not None and r["score"] for r in classify(spark.createDataFrame(rows, SCHEMA), sample=60).collect()}
+    import gradeloom.llm.weak_labels as W
+
+    seen = []
+    fit = W._fit
+
+    def counting(chances):
+        inner = fit(chances)
+
+        def run(frames):
+            frames = list(frames)
+            assert sum(map(len, frames)) <= 60
+            yield from inner(iter(frames))
+
+        seen.append(1)
+        return run
+
+    W._fit = counting
+    try:
+        found = classify(spark.createDataFrame(rows + [rows[1]] * 100, SCHEMA), sample=60).collect()
+    finally:
+        W._fit = fit
+    assert seen and len(found) == 180 and len(once) == 80

@@ -6,11 +6,14 @@ effect. All but the last return the columns of ``documents``; extra columns stay
 1. language: rows whose language cannot be told go (no letters, or a text unlike every
    learned language). Learned from the rows with a language.
 2. near duplicates: one document of each group of near copies stays, the one with the
-   smallest id. Texts without words and rows without id are nobody's copies.
+   smallest id. Texts without words are nobody's copies.
 3. decontamination: rows that hold a test item of ``benchmark`` go.
 4. mixing: rows are taken as often as the mix of their source asks, zero to three times.
 5. tokens: all rows as token ids in binary files; one row per document comes back.
 
+Stages 2 and 3 decide on rows by keys of their own, so rows without id and rows that repeat
+an id are searched and dropped each for itself.
+
 No rows give no rows.
 """
 
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, pareto_mix, pfor_blocks
 from gradeloom.llm.common import stored, table
+from gradeloom.operators.ordered import with_ordinal
 
 TOKENIZER = "byte_bpe_50k.json"
 # A cosine below this is no language: clean text of a learned one lies above 0.18 from
@@ -37,13 +41,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = bbit_minhash.near_duplicates(docs)
-    dropped = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct(), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    # Numbered by id, so that the smallest number of a group is its smallest id.
+    tied = docs.withColumn("__tie", F.monotonically_increasing_id())
+    rows = with_ordinal(tied, [F.col("doc_id").asc_nulls_last(), F.col("__tie")], "__row").drop("__tie")
+    found = bbit_minhash.near_duplicates(rows, "__row")
+    dropped = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")), "dropped")
+    return rows.join(dropped, rows["__row"] == dropped["__dropped"], "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    return decontaminate.without_leaks(rows, table(spark, sf_dir, "benchmark"), "__row").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,19 @@ def test_no_rows(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_without_id_and_repeated_ids_count_each(spark, tmp_path):
+    """Every row is decided by its own text; of a group of copies one stays."""
+    pick = np.random.default_rng(9)
+    leak, *clean = [" ".join(f"{c}{n}" for n in pick.integers(0, 10**6, 30)) for c in "abcdef"]
+    rows = [(None, f"x {leak} y", "en", "s", 0, "x"), (None, clean[0], "en", "s", 0, "x"), (7, f"z {leak}", "en", "s", 0, "x"), (7, clean[1], "en", "s", 0, "x")]
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.decontamination_stage(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
+    assert {(r["doc_id"], r["text"]) for r in left.collect()} == {(None, clean[0]), (7, clean[1])}
+
+    rows = [(None, clean[2], "en", "s", 0, "x")] * 3 + [(5, clean[3], "en", "s", 0, "x")] * 3
+    rows += [(9, clean[4], "en", "s", 0, "x"), (8, clean[4], "en", "s", 0, "x"), (None, clean[4], "en", "s", 0, "x"), (None, None, "en", "s", 0, "x"), (None, "", "en", "s", 0, "x")]
+    left = corpus_pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(5), str(tmp_path))
+    want = [(None, clean[2]), (5, clean[3]), (8, clean[4]), (None, None), (None, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)

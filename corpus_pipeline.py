@@ -4,7 +4,10 @@ Every stage takes all rows that the one before it kept and lets its decisions ta
 effect. All but the last return the columns of ``documents``; extra columns stay.
 
 1. language: rows whose language cannot be told go (no letters, or a text unlike every
-   learned language). Learned from the rows with a language.
+   learned language). Learned from the rows with a language: the profiles, and for each
+   language and length of text the least cosine of texts that are like the others, which
+   is three quartile distances below the lower quartile. Rows without language are held to
+   the same bounds.
 2. near duplicates: one document of each group of near copies stays, the one with the
    smallest id. Texts without words are nobody's copies.
 3. decontamination: rows that hold a test item of ``benchmark`` go.
@@ -24,20 +27,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, pareto_mix, pfor_blocks
-from gradeloom.llm.common import stored, table
+from gradeloom.llm.common import sized, stored, table
 from gradeloom.operators.ordered import with_ordinal
 
 TOKENIZER = "byte_bpe_50k.json"
-# A cosine below this is no language: clean text of a learned one lies above 0.18 from
-# three words on, and shorter text is left alone.
-SCORE_LEAST, SHORT_WORDS = 0.05, 5
+# Quartiles tell something from so many rows on, and differ by chance by the noise of a cosine.
+ROWS_LEAST, NOISE, FENCE = 20, 1 / hyper_lang.DIMENSIONS**0.5, 3
+# Where no quartiles tell anything: no language, from so many letters (as a power of two) on.
+SCORE_LEAST, SIZE_LEAST = 0.05, 4
+
+
+def language_bounds(found: DataFrame) -> DataFrame:
+    """lang_pred, size, bound; null stands for any language."""
+    own = found.where(F.col("row.lang") == F.col("lang_pred"))
+    quartiles = F.percentile_approx("score", [0.25, 0.75], 10_000)
+    sets = own.rollup("size", "lang_pred").agg(quartiles.alias("q"), F.count(F.lit(1)).alias("n"))
+    sets = sets.where(F.col("size").isNotNull() & (F.col("n") >= ROWS_LEAST))
+    spread = F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(NOISE))
+    return sets.select("lang_pred", "size", (F.col("q")[0] - FENCE * spread).alias("bound"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = hyper_lang.identify(docs, F.lit(True))
-    words = pareto_mix.word_count(F.col("row.text"))
-    known = (F.col("lang_pred") != hyper_lang.UNKNOWN) & ((F.col("score") >= SCORE_LEAST) | (words < SHORT_WORDS))
-    return found.where(known).select("row.*")
+    found = hyper_lang.identify(docs, F.lit(True)).where(F.col("lang_pred") != hyper_lang.UNKNOWN)
+    # Lengths by powers of two, in letters: signs and digits tell no language.
+    letters = F.length(F.regexp_replace("row.text", r"\P{L}+", ""))
+    found = stored(found.withColumn("size", F.floor(F.log2(letters.cast("double"))).cast("int")), "languages")
+    bounds = stored(language_bounds(found), "language-bounds")
+
+    lang, size = F.col("lang_pred"), F.col("size")
+    exact = bounds.where(lang.isNotNull()).select(lang.alias("l"), size.alias("s"), F.col("bound").alias("exact"))
+    # Longer texts lie closer to their language: what holds for a shorter one holds for them.
+    known = bounds.where(lang.isNull()).select(size.alias("known"), "bound")
+    sizes = spark.range(64).select(F.col("id").cast("int").alias("any_size"))
+    below = sizes.join(F.broadcast(known), F.col("known") <= F.col("any_size")).groupBy("any_size").agg(F.max_by("bound", "known").alias("shorter"))
+    joined = found.join(sized(stored(exact, "language-exact")), (lang == F.col("l")) & (size == F.col("s")), "left")
+    joined = joined.join(F.broadcast(below), size == F.col("any_size"), "left")
+    bound = F.coalesce("exact", "shorter", F.when(size >= SIZE_LEAST, SCORE_LEAST).otherwise(0.0))
+    return joined.where(F.col("score") >= bound).select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,3 +84,20 @@ def test_rows_without_id_and_repeated_ids_count_each(spark, tmp_path):
     left = corpus_pipeline.near_dedup_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(5), str(tmp_path))
     want = [(None, clean[2]), (5, clean[3]), (8, clean[4]), (None, None), (None, "")]
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
+def test_unlearned_languages_and_letter_junk_go(spark):
+    pick = np.random.default_rng(10)
+    more = {
+        "en": WORDS["en"] + " because people often write long letters to their friends about work and home which they enjoy every day",
+        "de": WORDS["de"] + " weil Leute oft lange Briefe an ihre Freunde schreiben und dabei von der Arbeit und dem Haus erzählen",
+    }
+    rows = [(i, " ".join(pick.choice(more[lang].split(), n)), lang, "s", 0, "x") for i in range(400) for lang, n in [("en" if i % 2 else "de", int(pick.choice([30, 60, 120, 300])))]]
+    polish = "wczoraj wieczorem przyszedł do mnie sąsiad i powiedział że jutro będzie padać śnieg więc trzeba przygotować ciepłe ubrania oraz zrobić zakupy przed świętami"
+    finnish = "eilen illalla naapurini tuli luokseni ja sanoi että huomenna sataa lunta joten täytyy valmistaa lämpimät vaatteet ja käydä kaupassa ennen juhlia"
+    rows += [(1000 + i, " ".join(pick.choice(t.split(), 60)), None, "s", 0, "x") for i, t in enumerate([polish, finnish] * 3)]
+    for i, n in enumerate([60, 300, 3000]):
+        letters = pick.choice(list("abcdefghijklmnopqrstuvwxyz "), 6 * n)
+        rows.append((1100 + i, "".join(letters), None, "s", 0, "x"))
+    left = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert left == set(range(400))

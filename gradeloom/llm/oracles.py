@@ -96,6 +96,40 @@ SELECT f.doc_id, f.size, f.source_size, f.target,
 FROM second f LEFT JOIN fill_2 x ON f.doc_id = x.doc_id
 """
 
+_PHRASES = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', lower('{_UPPER}')), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM words CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+), f AS (
+    SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, cut, string_split(c.phrase, ' ') AS w FROM f c, unnest(range(1, c.k)) t(cut) WHERE c.k > 1
+), valued AS (
+    SELECT c.lang, c.k, c.phrase, c.a, cut, l.a AS l, r.a AS r,
+        CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+    FROM cuts c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:c.k], ' ')
+), best AS (
+    SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), around AS (
+    SELECT s.lang, s.phrase FROM f s JOIN f x ON x.lang = s.lang AND x.k > s.k
+        AND contains(' ' || x.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * x.a >= 80 * s.a
+    WHERE s.k > 1 GROUP BY ALL
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase, a, l, r, n, score
+FROM best b JOIN totals USING (lang) ANTI JOIN around z ON z.lang = b.lang AND z.phrase = b.phrase
+QUALIFY rank <= 2000
+"""
+
 _NEAR = rf"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', lower('{_UPPER}')), '{_WORD}') AS w FROM documents
@@ -242,3 +276,4 @@ FROM d LEFT JOIN listed USING (rid)
 """
 
 ORACLES["op3_secret_links"] = _SECRETS
+ORACLES["op11_lead_rollup"] = _PHRASES

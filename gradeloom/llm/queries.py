@@ -11,19 +11,22 @@ import public_tokenizers
 
 from gradeloom.llm import (
     bbit_minhash,
+    collocations,
     context_mix,
     decontaminate,
+    ftrl_toxicity,
     hyper_lang,
     license_digest,
     nra_topk,
     pareto_mix,
     pfor_blocks,
     secret_links,
+    token_align,
     weak_labels,
 )
 from gradeloom.llm.common import crc_mod, table
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_nra_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +76,20 @@ def op10_context_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mix.score_documents(table(spark, sf_dir, "documents"), crc_mod("doc_id", 10) == 0)
 
 
+def op11_lead_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return token_align.align(table(spark, sf_dir, "documents"), *files)
+
+
+def op13_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return ftrl_toxicity.score_toxicity(docs, labels, crc_mod("doc_id", 4) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nra_topk": op1_nra_topk,
     "op2_pareto_mix": op2_pareto_mix,
@@ -84,4 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_digest": op8_license_digest,
     "op9_weak_labels": op9_weak_labels,
     "op10_context_mix": op10_context_mix,
+    "op11_lead_rollup": op11_lead_rollup,
+    "op12_token_align": op12_token_align,
+    "op13_ftrl_toxicity": op13_ftrl_toxicity,
 }

@@ -38,11 +38,13 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm.common import stored
 
-BLOCK = 16 << 20
+BLOCK = 4 << 20
 # Groups with more links are linked by distinct ids.
 _MANY = 4096
 # Cut texts tokenised at once.
-_BATCH = 20_000
+_BATCH = 10_000
+# Pairs of texts brought together at once.
+_PART = 1 << 20
 
 # What a cut's space may not stand before: blanks, and first bytes of characters among which blanks are.
 _PLAIN = np.ones(256, bool)
@@ -81,6 +83,7 @@ class Vocabulary:
         self.bytes_b = [
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode() for i, piece in enumerate(pieces)
         ]
+        self.text_a, self.text_b = (list(map(str, range(len(x)))) for x in (self.bytes_a, self.bytes_b))
         self.size_a, self.size_b = (np.array([len(x) for x in each], np.int64) for each in (self.bytes_a, self.bytes_b))
 
     def tokens(self, cuts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
@@ -114,14 +117,18 @@ class Aligned:
 
     def __init__(self, cuts: list[bytes], words: Vocabulary) -> None:
         n = len(cuts)
-        ids: tuple[list, list] = ([], [])
+        good, flat, sizes = [], ([], []), ([], [])
         for at in range(0, n, _BATCH):
-            for side, found in zip(ids, words.tokens(cuts[at : at + _BATCH])):
-                side.extend(found)
-        self.good = np.array([words.spells(*each) for each in zip(cuts, *ids)], bool)
-        ids = tuple([x if ok else [] for x, ok in zip(side, self.good)] for side in ids)
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in ids)
-        a, b = (np.fromiter(itertools.chain.from_iterable(side), np.int64, int(m.sum())) for side, m in zip(ids, (self.n_a, self.n_b)))
+            some = cuts[at : at + _BATCH]
+            ids = words.tokens(some)
+            good.append(np.array([words.spells(*each) for each in zip(some, *ids)], bool))
+            for side, found in enumerate(ids):
+                kept = [x if ok else [] for x, ok in zip(found, good[-1])]
+                sizes[side].append(np.array([len(x) for x in kept], np.int64))
+                flat[side].append(np.fromiter(itertools.chain.from_iterable(kept), np.int64, int(sizes[side][-1].sum())))
+        self.good = np.concatenate(good)
+        self.n_a, self.n_b = map(np.concatenate, sizes)
+        a, b = map(np.concatenate, flat)
         ends_a, ends_b = np.cumsum(words.size_a[a]), np.cumsum(words.size_b[b])
         ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
         to_a, to_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
@@ -131,7 +138,12 @@ class Aligned:
         self.n_groups = np.bincount(owner, minlength=n)
         per_group = (to_a - from_a) * (to_b - from_b)
         self.n_links = np.bincount(owner, per_group, minlength=n).astype(np.int64)
-        self.texts = self._spelled(n, owner, a, b, zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist()))
+        text_a, text_b = ([names[i] for i in ids] for names, ids in ((words.text_a, a), (words.text_b, b)))
+        spans = zip(*(x.tolist() for x in (from_a, to_a, from_b, to_b)))
+        groups = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}" for i, j, k, m in spans]
+        last = np.cumsum(self.n_groups).tolist()
+        self.texts = [";".join(groups[i:j]) for i, j in zip([0, *last[:-1]], last)]
+        del text_a, text_b, groups
 
         few = per_group <= _MANY
         at = np.repeat(np.flatnonzero(few), per_group[few])
@@ -151,14 +163,6 @@ class Aligned:
         self.pair_at = rows % max(len(self.pairs), 1)
         self.pair_n = np.bincount(rows // max(len(self.pairs), 1), minlength=n)
 
-    @staticmethod
-    def _spelled(n: int, owner: np.ndarray, a: np.ndarray, b: np.ndarray, spans: Iterator[tuple[int, int, int, int]]) -> list[str]:
-        """Groups of each cut as text."""
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups = [f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}" for i, j, k, m in spans]
-        ends = np.cumsum(np.bincount(owner, minlength=n)).tolist()
-        return [";".join(groups[i:j]) for i, j in zip([0, *ends[:-1]], ends)]
-
 
 def expanded(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows of a list of lists of ``counts`` items: which row, and which item of all."""
@@ -168,6 +172,13 @@ def expanded(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return which, np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(len(which))
 
 
+def _text_ends(held: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where to split rows of texts, ``held`` each, so that whole texts of about ``_PART`` items stay."""
+    ends = np.cumsum(held)
+    items = np.r_[0, np.cumsum(sizes)][ends]
+    return ends[:-1][np.diff(items // _PART) > 0]
+
+
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 _LONGS = pa.list_(pa.int64())
 _BLOCK = pa.schema(
@@ -215,15 +226,18 @@ def align_block(texts: list[bytes], weights: list[int], words: Vocabulary) -> di
 
     k = len(found.good)
     rows, each = np.unique((owner * k + numbers)[spelled[owner]], return_counts=True)
-    which, item = expanded(rows % k, found.pair_n)
-    pairs = np.unique((rows // k)[which] * max(len(found.pairs), 1) + found.pair_at[item])
-    docs = np.array(weights, np.int64)[pairs // max(len(found.pairs), 1)]
-    pair_docs = np.bincount(pairs % max(len(found.pairs), 1), docs, minlength=len(found.pairs)).astype(np.int64)
-    listed, digests = numbers.tolist(), []
+    held = np.bincount(rows // k, minlength=n)
+    pair_docs = np.zeros(len(found.pairs), np.int64)
+    # Some texts at a time.
+    for some in np.split(rows, _text_ends(held, found.pair_n[rows % k])):
+        which, item = expanded(some % k, found.pair_n)
+        pairs = np.unique((some // k)[which] * max(len(found.pairs), 1) + found.pair_at[item])
+        docs = np.array(weights, np.int64)[pairs // max(len(found.pairs), 1)]
+        np.add.at(pair_docs, pairs % max(len(found.pairs), 1), docs)
+    digests = []
     for ok, end, size in zip(spelled.tolist(), np.cumsum(per_text).tolist(), per_text.tolist()):
-        text = ";".join([found.texts[c] for c in listed[end - size : end]]) if ok else ""
+        text = ";".join([found.texts[c] for c in numbers[end - size : end]]) if ok else ""
         digests.append(hashlib.sha256(text.encode()).hexdigest() if ok else "")
-    held = np.bincount(rows // k, minlength=n)
     return {
         "digests": [[hashlib.sha256(t).digest() for t in texts]],
         **{m: [summed(getattr(found, m))] for m in _MEASURES},

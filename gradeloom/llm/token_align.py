@@ -89,11 +89,20 @@ class Vocabulary:
     def tokens(self, cuts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and B of cuts, each of which starts with a space."""
         texts = [cut.decode("utf-8", "replace") for cut in cuts]
-        found_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        found_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         return found_a, self.b.encode([t[1:] for t in texts], num_threads=1)
 
-    def spells(self, cut: bytes, ids_a: list[int], ids_b: list[int]) -> bool:
-        return b"".join([self.bytes_a[i] for i in ids_a]) == cut == b"".join([self.bytes_b[i] for i in ids_b])
+    def spelled(self, cuts: list[bytes], *ids: list[list[int]]) -> np.ndarray:
+        """Whether the tokens of both sides spell each cut again."""
+        sides = [([names[i] for i in itertools.chain.from_iterable(found)], [len(x) for x in found]) for names, found in zip((self.bytes_a, self.bytes_b), ids)]
+        good = np.ones(len(cuts), bool)
+        for tokens, sizes in sides:
+            # All at once first: mostly everything fits.
+            ends = np.r_[0, np.cumsum([len(x) for x in tokens])][np.cumsum(sizes)]
+            if not np.array_equal(ends, np.cumsum([len(x) for x in cuts])) or b"".join(tokens) != b"".join(cuts):
+                last = np.cumsum(sizes).tolist()
+                good &= np.array([b"".join(tokens[i:j]) == cut for i, j, cut in zip([0, *last[:-1]], last, cuts)], bool)
+        return good
 
 
 @functools.lru_cache(1)
@@ -121,9 +130,9 @@ class Aligned:
         for at in range(0, n, _BATCH):
             some = cuts[at : at + _BATCH]
             ids = words.tokens(some)
-            good.append(np.array([words.spells(*each) for each in zip(some, *ids)], bool))
+            good.append(words.spelled(some, *ids))
             for side, found in enumerate(ids):
-                kept = [x if ok else [] for x, ok in zip(found, good[-1])]
+                kept = found if good[-1].all() else [x if ok else [] for x, ok in zip(found, good[-1])]
                 sizes[side].append(np.array([len(x) for x in kept], np.int64))
                 flat[side].append(np.fromiter(itertools.chain.from_iterable(kept), np.int64, int(sizes[side][-1].sum())))
         self.good = np.concatenate(good)
@@ -277,46 +286,26 @@ def _aligned(file_a: str, file_b: str):
 _RESULT = "digest binary, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _measured(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+def _measured(own: pa.Table, asked: pa.Table) -> pa.Table:
     """Measures of one block's texts from its own row and the counts of its pairs."""
-    place, count, best = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in ("place", "count", "best"))
-    own = next(p.column("own")[int(np.flatnonzero(p.column("place").to_numpy() < 0)[0])] for p in parts if (p.column("place").to_numpy() < 0).any())
-    held, cuts, each = _unpacked(own["cuts"].as_py())
-    pair_n, pair_at, links = _unpacked(own["cut_links"].as_py())
-    known = place >= 0
-    counts, bests = np.zeros((2, int(place.max()) + 1 if known.any() else 1), np.int64)
-    counts[place[known]], bests[place[known]] = count[known], best[known]
+    row = {name: own.column(name).combine_chunks()[0] for name in own.column_names}
+    held, cuts, each = _unpacked(row["cuts"].as_py())
+    pair_n, pair_at, links = _unpacked(row["cut_links"].as_py())
+    place = asked.column("place").to_numpy()
     owner = np.repeat(np.arange(len(pair_n)), pair_n)
     text = np.repeat(np.arange(len(held)), held)
 
-    def summed(values: np.ndarray) -> np.ndarray:
-        per_cut = np.zeros(len(pair_n), np.int64)
+    def summed(name: str) -> pa.Array:
+        values = np.zeros(int(place.max()) + 1 if len(place) else 1, np.int64)
+        values[place] = asked.column(name).to_numpy()
+        per_cut, out = np.zeros(len(pair_n), np.int64), np.zeros(len(held), np.int64)
         np.add.at(per_cut, owner, values[pair_at] * links)
-        out = np.zeros(len(held), np.int64)
         np.add.at(out, text, per_cut[cuts] * each)
-        return out
-
-    made = [own[name].values for name in ("digests", *_MEASURES)]
-    made += [pa.array(summed(bests)), pa.array(summed(counts)), own["groups"].values]
-    return pa.RecordBatch.from_arrays(made, ["digest", *_MEASURES, "n_best", "count_sum", "groups_sha256"])
-
-
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks one after another; the rows of one stand together."""
-    parts, current = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        blocks = batch.column("block").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-        for start, end in zip(edges, edges[1:]):
-            if parts and blocks[start] != current:
-                yield _measured(parts)
-                parts = []
-            current = blocks[start]
-            parts.append(batch.slice(start, end - start))
-    if parts:
-        yield _measured(parts)
+        return pa.array(out)
+
+    made = [row[name].values for name in ("digests", *_MEASURES)]
+    made += [summed("best"), summed("count"), row["groups"].values]
+    return pa.Table.from_arrays(made, ["digest", *_MEASURES, "n_best", "count_sum", "groups_sha256"])
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -336,13 +325,9 @@ def align(docs: DataFrame, file_a: str, file_b: str, id_col: str = "doc_id", tex
     counts = stored(pair_counts(blocks), "align-pairs")
 
     asked = blocks.select("block", F.posexplode("pairs").alias("place", "pair")).join(counts, "pair")
-    own = F.struct(*_OWN).alias("own")
-    none = F.lit(None).cast(blocks.select(own).schema["own"].dataType).alias("own")
-    nothing = F.lit(0).cast("long").alias("count"), F.lit(0).alias("best")
-    gathered = asked.select("block", "place", "count", "best", none).unionByName(blocks.select("block", F.lit(-1).alias("place"), *nothing, own))
-    # A block asks for its own pairs only, so one is bounded by its text.
-    together = gathered.repartition("block").sortWithinPartitions("block")
-    measures = together.mapInArrow(_measure, _RESULT)
+    # A block asks for its own pairs only, so one group is bounded by its text.
+    own = blocks.select(F.col("block").alias("own_block"), *_OWN).groupBy("own_block")
+    measures = own.cogroup(asked.select("block", "place", "count", "best").groupBy("block")).applyInArrow(_measured, _RESULT)
 
     digest = F.when(F.col("text") != "", F.unhex(F.sha2(F.col("text").cast("binary"), 256))).alias("digest")
     found = rows.select("doc_id", digest).join(measures, "digest", "left")

@@ -5,12 +5,12 @@ ends. Each word opens one window of the four words from it on, padded where the
 ends. Only these windows are counted; Spark's ROLLUP over their columns sums them to the counts
 of all shorter phrases, of single words and of a language's words.
 
-A phrase of at least ``LEAST`` occurrences has no rarer word and no rarer pair of words in
-it. So windows are padded from the first word on that is rarer, or follows on its
-predecessor more rarely, and no wanted count changes. Which words and pairs those are is
-told by bit tables over hashes: the words' from the exact vocabulary, the pairs' from sums
-over hash slots that are never below a pair's own count. A table has at most ``MOST_BITS``
-bits; where that is too few, fewer windows are padded and no result changes.
+A phrase of at least ``LEAST`` occurrences has no rarer word, pair or triple of words in it.
+So windows are padded from the first word on that is rarer, or completes a rarer pair or
+triple, and no wanted count changes. Which those are is told by bit tables over hashes:
+the words' from the exact vocabulary, the others' from sums over hash slots that are
+never below a run's own count. A table has at most ``MOST_BITS`` bits; where that is too
+few, fewer windows are padded and no result changes.
 
 Words travel as 64-bit hashes of language and word. The vocabulary is checked for words that
 share one, and hashed anew if there are; equal words of one stretch of text meet as text.
@@ -22,7 +22,7 @@ Columns other than text and language are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -151,57 +151,75 @@ def _counted(seed: int):
     return run
 
 
-def _pairs(seed: int, frequent: Bits, size: int):
+def frequent_runs(s: Stretch, hashes: np.ndarray, tables: Sequence[Bits]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For runs of 1, 2, ... words: where all shorter ones in them are frequent, and their hashes.
+
+    ``tables`` tell it for words, pairs and so on; the runs of one word more come last.
+    """
+    known = np.flatnonzero(tables[0].of(hashes)[s.numbers])
+    found = [(known, hashes[s.numbers[known]])]
+    for length, table in enumerate([*tables[1:], None], start=2):
+        at, own = found[-1]
+        if length == 2:
+            ok = np.r_[(np.diff(at) == 1) & (np.diff(s.piece[at]) == 0), False] if len(at) else np.empty(0, bool)
+        else:
+            # Both runs of one word less are frequent.
+            ok = np.r_[np.diff(at) == 1, False] if len(at) else np.empty(0, bool)
+        first = np.flatnonzero(ok)
+        runs = pair_hashes(own[first], hashes[s.numbers[at[first] + length - 1]])
+        at = at[first]
+        if table is not None:
+            kept = table.of(runs)
+            at, runs = at[kept], runs[kept]
+        found.append((at, runs))
+    return found
+
+
+def _runs(seed: int, tables: Sequence[Bits], size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, data in stretches(batches):
             s = Stretch(data)
-            hashes = s.hashes(lang, seed)
-            known = frequent.of(hashes)[s.numbers]
-            both = np.flatnonzero(known[:-1] & known[1:] & (s.piece[:-1] == s.piece[1:]))
-            found = pair_hashes(hashes[s.numbers[both]], hashes[s.numbers[both + 1]]) & np.uint64(size - 1)
-            slots, n = np.unique(found, return_counts=True)
+            runs = frequent_runs(s, s.hashes(lang, seed), tables)[-1][1] & np.uint64(size - 1)
+            slots, n = np.unique(runs, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))], ["slot", "n"])
 
     return run
 
 
-def lead_windows(s: Stretch, hashes: np.ndarray, words: Bits, pairs: Bits) -> tuple[np.ndarray, np.ndarray]:
+def lead_windows(s: Stretch, hashes: np.ndarray, tables: Sequence[Bits]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct padded windows of a stretch, (windows, WIDTH) hashes, and their counts.
 
     A word that is itself rarer gives a window of padding only.
     """
-    known = words.of(hashes)
-    numbers = np.where(known[s.numbers], s.numbers + 1, 0)
-    # Local numbers, 0 for padding.
+    runs = frequent_runs(s, hashes, tables)
+    # Local numbers, 0 for padding; the runs of WIDTH words hold no rarer triple.
+    numbers = s.numbers.astype(np.int64) + 1
+    columns = []
+    for lead, (at, _) in enumerate(runs):
+        column = np.zeros(len(numbers), np.int64)
+        column[at] = numbers[at + lead]
+        columns.append(column)
     hashed = np.r_[np.uint64(0), hashes]
-    follows = np.zeros(len(numbers), bool)
-    both = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0) & (s.piece[:-1] == s.piece[1:]))
-    follows[both] = pairs.of(pair_hashes(hashed[numbers[both]], hashed[numbers[both + 1]]))
-
-    alone = np.bincount(numbers[~follows], minlength=len(hashed))
+    alone = np.bincount(columns[0][columns[1] == 0], minlength=len(hashed))
     first = np.flatnonzero(alone)
     single = np.zeros((len(first), WIDTH), np.int64)
     single[:, 0] = first
 
-    starts = np.flatnonzero(follows)
-    columns, going = [numbers[starts], numbers[starts + 1]], np.ones(len(starts), bool)
-    for lead in range(2, WIDTH):
-        going &= follows[np.minimum(starts + lead - 1, len(follows) - 1)]
-        columns.append(np.where(going, numbers[np.minimum(starts + lead, len(numbers) - 1)], 0))
-    # Equal windows meet two columns at a time.
-    group = columns[0].astype(np.int64)
+    columns = [column[columns[1] > 0] for column in columns]
+    # Equal windows meet one column after another.
+    group = columns[0]
     for column in columns[1:]:
         group = np.unique(group * len(hashed) + column, return_inverse=True)[1]
     _, at, n = np.unique(group, return_index=True, return_counts=True)
-    longer = np.stack([column[at] for column in columns], axis=1) if len(at) else single[:0]
+    longer = np.stack([column[at] for column in columns], axis=1)
     return hashed[np.concatenate([single, longer])], np.concatenate([alone[first], n])
 
 
-def _windows(seed: int, words: Bits, pairs: Bits):
+def _windows(seed: int, tables: Sequence[Bits]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, data in stretches(batches):
             s = Stretch(data)
-            found, n = lead_windows(s, s.hashes(lang, seed), words, pairs)
+            found, n = lead_windows(s, s.hashes(lang, seed), tables)
             made = [pa.array([lang] * len(n)), *[pa.array(np.ascontiguousarray(c).view(np.int64)) for c in found.T], pa.array(n.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(made, ["lang", *_WINDOW, "n"])
 
@@ -229,12 +247,15 @@ def phrase_counts(rows: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     frequent = words.where(F.col("n") >= least)
     found, positions = frequent.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     size = bits_for(32 * found)
-    known = bit_table(frequent.select(F.col("h").bitwiseAND(F.lit(size - 1))), size)
-    size = bits_for(positions // 2)
-    slots = rows.mapInArrow(_pairs(seed, known, size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    pairs = bit_table(slots.where(F.col("n") >= least).select(F.col("slot").cast("long")), size)
-
-    windows = rows.mapInArrow(_windows(seed, known, pairs), f"lang string, {', '.join(f'{w} long' for w in _WINDOW)}, n long")
+    tables = [bit_table(frequent.select(F.col("h").bitwiseAND(F.lit(size - 1))), size)]
+    for length in range(2, WIDTH):
+        size = bits_for(positions // 2)
+        slots = rows.mapInArrow(_runs(seed, tables, size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        met = stored(slots.where(F.col("n") >= least), f"phrases-runs-{length}")
+        positions = met.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        tables.append(bit_table(met.select(F.col("slot").cast("long")), size))
+
+    windows = rows.mapInArrow(_windows(seed, tables), f"lang string, {', '.join(f'{w} long' for w in _WINDOW)}, n long")
     summed = windows.rollup("lang", *_WINDOW).agg(F.sum("n").alias("a"), F.grouping_id().alias("rolled"))
     # The bits of what was rolled up, from the right.
     level = F.coalesce(*[F.when(F.col("rolled") == (1 << WIDTH - k) - 1, k) for k in range(WIDTH, -1, -1)])

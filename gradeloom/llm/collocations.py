@@ -145,7 +145,7 @@ def _counted(seed: int):
             s = Stretch(data)
             n = np.bincount(s.numbers, minlength=len(s.words)).astype(np.int64)
             texts = pa.array(s.words, pa.binary()).cast(pa.string())
-            made = [pa.array([lang] * len(n)), texts, pa.array(s.hashes(lang, seed).view(np.int64)), pa.array(n)]
+            made = [pa.array([lang] * len(n), pa.string()), texts, pa.array(s.hashes(lang, seed).view(np.int64)), pa.array(n)]
             yield pa.RecordBatch.from_arrays(made, ["lang", "word", "h", "n"])
 
     return run
@@ -220,7 +220,7 @@ def _windows(seed: int, tables: Sequence[Bits]):
         for lang, data in stretches(batches):
             s = Stretch(data)
             found, n = lead_windows(s, s.hashes(lang, seed), tables)
-            made = [pa.array([lang] * len(n)), *[pa.array(np.ascontiguousarray(c).view(np.int64)) for c in found.T], pa.array(n.astype(np.int64))]
+            made = [pa.array([lang] * len(n), pa.string()), *[pa.array(np.ascontiguousarray(c).view(np.int64)) for c in found.T], pa.array(n.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(made, ["lang", *_WINDOW, "n"])
 
     return run

@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.runtime import prepare_checkpoints
+from gradeloom.operators.selection import median_of_counts
+from gradeloom.runtime import prepare_checkpoints, stored
 
 _KEY = "__order_key"
 _RANGE = "__order_range"
@@ -125,31 +126,13 @@ def with_last_known(
     return groups.finish(filled)
 
 
-def median_of_counts(counted: DataFrame, keys: Sequence[str], value: str, count: str, output: str) -> DataFrame:
-    """Exact median per group of a table with one row per distinct value and its count.
-
-    The mean of the middle two for an even count. Null values do not take part.
-    """
-    known = counted.where(F.col(value).isNotNull()).select(*keys, value, F.col(count).alias("__c"))
-    running = with_running_sum(known, keys, [F.col(value)], "__c", "__upto")
-    totals = known.groupBy(*keys).agg(F.sum("__c").alias("__total"))
-    placed = same_keys(running, totals, keys)
-    lower = F.expr("(__total + 1) div 2")
-    upper = F.expr("__total div 2 + 1")
-    before = F.col("__upto") - F.col("__c")
-    at_lower = (before < lower) & (F.col("__upto") >= lower)
-    at_upper = (before < upper) & (F.col("__upto") >= upper)
-    middle = (F.max(F.when(at_lower, F.col(value))) + F.max(F.when(at_upper, F.col(value)))) / 2
-    return placed.where(at_lower | at_upper).groupBy(*keys).agg(middle.alias(output))
-
-
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, output: str) -> DataFrame:
     """Exact median per group, the mean of the middle two for an even count.
 
-    Equal values are counted before anything is ordered, so the running count sees each
-    distinct value once however often it occurs.
+    Equal values are counted before anything is selected, so each distinct value is seen
+    once however often it occurs.
     """
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counted = stored(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "values")
     return median_of_counts(counted, keys, value, "__n", output)
 
 
@@ -157,7 +140,8 @@ def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Colu
     """Add aggregates of the whole group to each of its rows.
 
     A partial aggregate and a join on the keys; the side of the aggregate has one row per
-    group, so a large group on the other side can be split.
+    group, so a large group on the other side can be split. ``df`` is read twice: store it
+    if it is costly.
     """
     if not keys:
         raise ValueError("grouping needs at least one key column")

@@ -14,14 +14,13 @@ from gradeloom.operators.ordered import with_rank
 Mode = Literal["auto", "pairs", "scored", "per_row"]
 
 
-def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
-    """One chosen/rejected pair per prompt with at least two scored responses.
+def response_ends(records: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """What pairs follow from: ``prompt, responses, best, worst, first_ord`` per prompt.
 
     The best response is the first of the highest score and the worst the last of
     the lowest. Both are the ends of one ordering, so a prompt is reduced by plain
     min and max: partial results are combined before the shuffle and a prompt with
-    very many responses costs no task more than its partial results. Rows come
-    unordered; ``first_ord`` is the first position of the prompt in the input.
+    very many responses costs no task more than its partial results.
     """
     scored = F.col("score_chosen").isNotNull()
     end = F.struct(
@@ -31,16 +30,30 @@ def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
         F.coalesce(F.col("answer"), F.lit("")).alias("answer"),
         F.col("metadata.source").alias("source"),
     )
-    grouped = records.groupBy("prompt").agg(
+    return records.groupBy("prompt").agg(
         F.count("score_chosen").alias("responses"),
         F.min(F.when(scored, end)).alias("best"),
         F.max(F.when(scored, end)).alias("worst"),
         F.min(ord_col).alias("first_ord"),
     )
+
+
+def merged_ends(ends: DataFrame) -> DataFrame:
+    """Ends of several disjoint sets of records as those of all of them."""
+    return ends.groupBy("prompt").agg(
+        F.sum("responses").alias("responses"),
+        F.min("best").alias("best"),
+        F.max("worst").alias("worst"),
+        F.min("first_ord").alias("first_ord"),
+    )
+
+
+def pairs_of_ends(ends: DataFrame) -> DataFrame:
+    """One pair per prompt with at least two scored responses."""
     answer = F.when(F.col("best.answer") != "", F.col("best.answer")).otherwise(
         F.col("worst.answer")
     )
-    return grouped.where(F.col("responses") >= 2).select(
+    return ends.where(F.col("responses") >= 2).select(
         "prompt",
         F.col("best.text").alias("chosen"),
         F.col("worst.text").alias("rejected"),
@@ -55,6 +68,14 @@ def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
     )
 
 
+def pairs_from_scores(records: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """One chosen/rejected pair per prompt with at least two scored responses.
+
+    Rows come unordered; ``first_ord`` is the first position of the prompt in the input.
+    """
+    return pairs_of_ends(response_ends(records, ord_col))
+
+
 def rank_responses(
     records: DataFrame, ord_col: str = "ord", output: str = "rank"
 ) -> DataFrame:

@@ -11,12 +11,9 @@ from pyspark.sql import types as T
 from gradeloom.fixed import SUMMARY_METRICS
 from gradeloom.functions.numbers import float_text
 from gradeloom.functions.whitespace import word_count
-from gradeloom.operators.ordered import (
-    median_of_counts,
-    same_keys,
-    with_group_values,
-    with_last_known,
-)
+from gradeloom.operators.ordered import same_keys, with_group_values, with_last_known
+from gradeloom.operators.selection import median_of_counts
+from gradeloom.runtime import stored
 
 _ALL = "__all"
 _COMPARISON = "position int, metric string, run_a double, run_b double"
@@ -191,8 +188,10 @@ def group_advantage(
     """Add each completion's reward relative to its group.
 
     ``(reward - mean) / (population deviation + epsilon)`` over the completions of a
-    prompt. A prompt with very many completions is never gathered in one task.
+    prompt. A prompt with very many completions is never gathered in one task, and what the
+    rewards are computed from is evaluated once.
     """
+    scored = stored(scored, "scored")
     values = {"group_mean": F.avg(reward), "group_std": F.stddev_pop(reward)}
     placed = with_group_values(scored, [group], values)
     advantage = (F.col(reward) - F.col("group_mean")) / (F.col("group_std") + F.lit(epsilon))
@@ -214,11 +213,14 @@ def latency_summary(
     words = requests.select(
         *(by or [F.lit(0).alias(_ALL)]), F.col(latency).alias("__latency"), word_count(text).alias("__words")
     )
-    # Everything follows from the requests and words per distinct latency.
+    # Everything follows from the requests and words per distinct latency: -0.0 is 0.0.
+    words = words.withColumn("__latency", F.col("__latency").cast("double") + F.lit(0.0))
     n, known = F.col("__n"), F.col("__latency").isNotNull()
     counted = words.groupBy(*keys, "__latency").agg(
         F.count(F.lit(1)).alias("__n"), F.sum("__words").alias("__sum"), F.count("__words").alias("__texts")
     )
+    # Read several times from here on.
+    counted = stored(counted, "latencies")
     means = counted.groupBy(*keys).agg(
         F.sum(n).alias("repeats"),
         (F.sum(F.col("__latency") * n) / F.sum(F.when(known, n))).alias("avg_latency_sec"),

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from gradeloom import fixed, schemas
 from gradeloom.fixed import REQUIRED_SECTIONS, SUMMARY_METRICS
 from gradeloom.functions import answers, prompts, rewards, whitespace
-from gradeloom.operators import evaluation, exports, limits, normalize, ordered, pairs, runs, scoring, tables
+from gradeloom.operators import evaluation, exports, limits, normalize, ordered, pairs, runs, sampling, scoring, tables, zipping
 from gradeloom.plans import inputs, jobs
 from gradeloom.plans.inputs import table, texts
 from gradeloom.runtime import scratch_path
 from gradeloom.sources import datasets, jsonl, reports
-from gradeloom.streaming import metrics_log, scoring as stream_scoring
+from gradeloom.streaming import metrics_log, pairs as stream_pair_log, scoring as stream_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -620,6 +620,54 @@ def unified_sources(spark, sf_dir):
     return df.select("ord", "prompt", "answer", "response", F.col("metadata.source").alias("source"))
 
 
+@registered
+def prompt_difficulty(spark, sf_dir):
+    scored = scoring.score_completions(inputs.completions(spark, sf_dir), answer="gold")
+    hard = sampling.prompt_difficulty(scored)
+    return hard.select("prompt", "completions", F.round("difficulty", 6).alias("difficulty"))
+
+
+@registered
+def harder_subset(spark, sf_dir):
+    """A third of all prompts, the harder ones more."""
+    scored = scoring.score_completions(inputs.completions(spark, sf_dir), answer="gold")
+    # A part's lines show little spread, so a prompt here is a part of one flag.
+    asked = scored.withColumn("prompt", F.concat_ws(" ", "prompt", "l_returnflag"))
+    prompts_ = sampling.prompt_difficulty(asked)
+    n = table(spark, sf_dir, "part").count()
+    chosen = sampling.harder_subset(prompts_, n, edges=(0.4, 0.5, 0.6), weights=(1, 2, 3, 4))
+    return chosen.select("prompt", "stratum", F.round("difficulty", 6).alias("difficulty"))
+
+
+def _zip_parts(spark, sf_dir):
+    """Prompts, responses and answers from three tables of different lengths."""
+    asked = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", "lang", "source").alias("prompt"))
+    given = inputs.select_all(table(spark, sf_dir, "events"), inputs.ZIPPED_RESPONSES, "event_id")
+    known = inputs.select_all(table(spark, sf_dir, "orders"), inputs.ZIPPED_ANSWERS, "o_orderkey")
+    return (asked, "prompt", ["doc_id"]), (given, "response", [F.col("event_id").desc()]), (known, "answer", ["o_orderkey"])
+
+
+@registered
+def zip_scores(spark, sf_dir):
+    """Rewards of responses that meet prompts and answers by position."""
+    scored = zipping.score_zipped(*_zip_parts(spark, sf_dir))
+    return scored.select("position", "prompt", "answer", "predicted_answer", "correctness_reward", F.round("combined_reward", 6).alias("combined_reward"))
+
+
+@registered
+def zip_accuracy(spark, sf_dir):
+    _, responses, answers_ = _zip_parts(spark, sf_dir)
+    accuracy = zipping.accuracy_zipped(responses, answers_)
+    return accuracy.select("samples", F.round("final_answer_accuracy", 6).alias("final_answer_accuracy"))
+
+
+@registered
+def zip_report(spark, sf_dir):
+    """How many rows each table has, and how many find no partner."""
+    names = ("prompt", "response", "answer")
+    return zipping.Zipped(dict(zip(names, _zip_parts(spark, sf_dir)))).report()
+
+
 @registered
 def hash_split(spark, sf_dir):
     df = table(spark, sf_dir, "documents")
@@ -809,6 +857,17 @@ def stream_scores(spark, sf_dir):
     return scored.select(*_LINE_KEY, "predicted_answer", F.round("combined_reward", 6).alias("combined_reward"))
 
 
+@registered
+def stream_pairs(spark, sf_dir):
+    """Pairs kept up to date from records that arrive in several batches."""
+    records = inputs.scored_responses(spark, sf_dir)
+    folder, target, progress = (scratch_path(spark, label) for label in ("records", "ends", "progress"))
+    records.repartition(4, "ord").write.parquet(folder)
+    arriving = datasets.stream_dataset(spark, folder, records.schema, maxFilesPerTrigger="1")
+    stream_pair_log.follow_pairs(arriving, target, progress, every=2, once=True).awaitTermination()
+    return _flat_records(stream_pair_log.read_pairs(spark, target), "first_ord")
+
+
 @registered
 def stream_latest_metrics(spark, sf_dir):
     """Latest metrics kept up to date from a growing log."""

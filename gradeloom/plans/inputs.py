@@ -123,6 +123,13 @@ RAGGED_PREFERENCES = """CONCAT('{"ord":', CAST(9007199254740992 + event_id AS ST
       WHEN 2 THEN CONCAT('"response":"two","rating":', CAST(user_id % 10 AS STRING))
       ELSE CONCAT('"response":" three ","answer":"x","score":"', CAST(CAST(FLOOR(value) AS BIGINT) AS STRING), '.5"') END, '}')"""
 
+# Responses and answers that meet by position.
+ZIPPED_RESPONSES = {
+    "response": """CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 2 = 0 THEN CONCAT('思路：a', chr(10), '步骤：b', chr(10), '答案：', CAST(user_id % 4 AS STRING))
+        ELSE CONCAT('x ', chr(92), 'boxed{', CAST(user_id % 4 AS STRING), '.0}') END"""
+}
+ZIPPED_ANSWERS = {"answer": "CASE WHEN o_orderkey % 9 = 0 THEN CAST(NULL AS STRING) ELSE CAST(o_orderkey % 4 AS STRING) END"}
+
 
 def select_all(df: DataFrame, expressions: dict[str, str], *keep: str) -> DataFrame:
     return df.select(*keep, *[F.expr(text).alias(name) for name, text in expressions.items()])

@@ -136,6 +136,13 @@ _MATCHED = f"({matches('predicted_answer', 'gold', f'(SELECT *, {final_answer('r
 _PARTS = f"""(SELECT *, CASE WHEN gold <> '' THEN matches ELSE 0 END::DOUBLE AS c, {_FORMAT} AS f,
     ((length(prompt) + 2 * length(response)) % 10) / 10::DOUBLE AS m FROM {_MATCHED})"""
 
+# Three tables side by side, each numbered in its own order.
+_RESPONSES = f"(SELECT row_number() OVER (ORDER BY event_id DESC) - 1 AS position, response FROM {derived('events', inputs.ZIPPED_RESPONSES, 'event_id')})"
+_ANSWERS = f"(SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, answer FROM {derived('orders', inputs.ZIPPED_ANSWERS, 'o_orderkey')})"
+_ZIPPED_TWO = f"(SELECT *, {final_answer('response')} AS predicted_answer FROM {_RESPONSES} JOIN {_ANSWERS} USING (position))"
+_ZIPPED = f"""(SELECT * FROM {_ZIPPED_TWO} JOIN
+    (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, concat(lang, ' ', source) AS prompt FROM documents) USING (position))"""
+
 # Reward records, one shape at a time.
 _ITEMS = " UNION ALL ".join(
     f"SELECT event_id, event_type, {i} AS pos, {strip(text)} AS item_text, coalesce({score}, 0) AS item_score FROM events"
@@ -294,6 +301,7 @@ ORACLES: dict[str, str] = {
     "completions_array_pair": f"""SELECT item_event AS ord, item_type AS prompt, best AS chosen, worst AS rejected,
         best_score::DOUBLE AS score_chosen, worst_score::DOUBLE AS score_rejected FROM {_ENDS}""",
     "pairs_from_scores": ranked_pairs(SCORED),
+    "stream_pairs": ranked_pairs(SCORED),
     "rank_responses": f"""SELECT ord, prompt, score_chosen,
         row_number() OVER (PARTITION BY prompt ORDER BY score_chosen DESC, ord) AS rank
         FROM {SCORED} WHERE score_chosen IS NOT NULL""",
@@ -327,6 +335,39 @@ ORACLES: dict[str, str] = {
     "group_advantage": f"""SELECT {KEY}, prompt, round(mu, 6) AS group_mean, round((r - mu) / (sd + 1e-4::DOUBLE), 4) AS advantage
         FROM (SELECT *, avg(r) OVER (PARTITION BY prompt) AS mu, stddev_pop(r) OVER (PARTITION BY prompt) AS sd
         FROM (SELECT *, 0.5::DOUBLE * c + 0.2::DOUBLE * f AS r FROM {_PARTS}))""",
+    "prompt_difficulty": f"""SELECT prompt, count(*) AS completions, round(1 - avg(c), 6) AS difficulty FROM {_PARTS} GROUP BY prompt""",
+    # Strata in the order in which they fill up; what rounding leaves goes to the last open ones.
+    "harder_subset": f"""WITH prompts AS (
+            SELECT concat(prompt, ' ', l_returnflag) AS prompt, 1 - avg(c) AS difficulty FROM {_PARTS} GROUP BY ALL
+        ), placed AS (
+            SELECT *, CASE WHEN difficulty > 0.6::DOUBLE THEN 3 WHEN difficulty > 0.5::DOUBLE THEN 2 WHEN difficulty > 0.4::DOUBLE THEN 1 ELSE 0 END AS stratum,
+                row_number() OVER (PARTITION BY stratum ORDER BY CAST('0x' || substr(md5('harder:' || prompt), 1, 15) AS BIGINT), prompt) AS place FROM prompts
+        ), sizes AS (
+            SELECT stratum, stratum + 1 AS w, count(*) AS size FROM placed GROUP BY ALL
+        ), filling AS (
+            SELECT *, sum(size) OVER f - size AS before, (SELECT sum(w) FROM sizes) - sum(w) OVER f + w AS open_w,
+                least((SELECT count(*) FROM part), (SELECT sum(size) FROM sizes)) AS n
+            FROM sizes WINDOW f AS (ORDER BY size / w, stratum)
+        ), judged AS (
+            SELECT *, (n - before) * w >= size * open_w AS whole FROM filling
+        ), shared AS (
+            SELECT *, n - (SELECT coalesce(sum(size), 0) FROM judged WHERE whole) AS rest,
+                (SELECT sum(w) FROM judged WHERE NOT whole) AS weight FROM judged
+        ), floored AS (
+            SELECT *, CASE WHEN whole THEN size ELSE rest * w // weight END AS part,
+                CASE WHEN whole THEN 0 ELSE row_number() OVER (PARTITION BY whole ORDER BY stratum DESC) END AS turn FROM shared
+        ), quotas AS (
+            SELECT stratum, part + CASE WHEN turn > 0 AND turn <= n - sum(part) OVER () THEN 1 ELSE 0 END AS quota FROM floored
+        )
+        SELECT prompt, CAST(stratum AS INT) AS stratum, round(difficulty, 6) AS difficulty FROM placed JOIN quotas USING (stratum) WHERE place <= quota""",
+    "zip_scores": f"""SELECT position, prompt, answer, predicted_answer, c AS correctness_reward, round(0.5::DOUBLE * c + 0.2::DOUBLE * f, 6) AS combined_reward
+        FROM (SELECT *, CASE WHEN answer IS NOT NULL AND matches = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS c, {_FORMAT} AS f
+        FROM ({matches("predicted_answer", "coalesce(answer, '')", _ZIPPED, "position, prompt, answer, response, predicted_answer")}))""",
+    "zip_accuracy": f"""SELECT count(*) AS samples, round(avg(matches), 6) AS final_answer_accuracy
+        FROM ({matches("predicted_answer", "coalesce(answer, '')", _ZIPPED_TWO, "position")})""",
+    "zip_report": """WITH t AS (SELECT 'prompt' AS "table", count(*) AS rows FROM documents UNION ALL SELECT 'response', count(*) FROM events
+            UNION ALL SELECT 'answer', count(*) FROM orders)
+        SELECT "table", rows, (SELECT min(rows) FROM t) AS paired, rows - (SELECT min(rows) FROM t) AS unpaired FROM t""",
     "latency_summary": latency(REQUESTS),
     "latency_by_language": latency(REQUESTS, "lang,", "GROUP BY lang"),
     "latency_events": latency(

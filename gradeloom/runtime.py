@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 LOCAL_SHARED_DIR = "/tmp/checkpoints/gradeloom"
@@ -36,6 +36,8 @@ def local_session(name: str = "gradeloom", cores: int | str = "*", **conf: str)
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
+        # Files of checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
@@ -92,6 +94,42 @@ def _file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, so that it is evaluated once.
+
+    Survives lost executors. The files go when the session ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    system, jvm_path = _file_system(spark, path)
+    system.deleteOnExit(jvm_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it is there."""
+    system, jvm_path = _file_system(spark, path)
+    system.delete(jvm_path, True)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless there is one; True for the one who made it.
+
+    The file appears whole under its name, or not at all, and only one writer can make it.
+    """
+    system, jvm_path = _file_system(spark, path)
+    try:
+        out = system.create(jvm_path, False)
+    except Exception as error:  # of the file system, whichever it is
+        if system.exists(jvm_path):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when the file or folder exists on whatever file system it names."""
     system, jvm_path = _file_system(spark, path)

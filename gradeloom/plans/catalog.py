@@ -738,20 +738,29 @@ def compare_job_curves(spark, sf_dir):
 
 @registered
 def registry_entries(spark, sf_dir):
-    """Two exports registered in turn; the second replaces entries and repeats one."""
+    """One dataset per source, then a change for every third document; the last of a name wins."""
     path = scratch_path(spark, "registry")
-    # Five names.
-    names = [row["r_name"].lower() for row in table(spark, sf_dir, "region").orderBy("r_regionkey").collect()]
-    first = {f"{name}_train": f"{name}.jsonl" for name in names}
+    name = F.concat("source", F.lit("_train")).alias("name")
+    docs = table(spark, sf_dir, "documents")
+    first = docs.select(name, F.concat("source", F.lit(".jsonl")).alias("file_name")).distinct()
     reports.register_datasets(spark, path, reports.registry_entries(spark, first, exports.CHAT_LAYOUT))
-    second = {f"{name}_train": f"{name}_pairs.jsonl" for name in names[2:]}
-    third = {f"{name}_train": f"{name}_last.jsonl" for name in names[4:]}
-    changes = [reports.registry_entries(spark, files, exports.PREFERENCE_LAYOUT).withColumn("at", F.lit(at)) for at, files in enumerate((second, third))]
-    reports.register_datasets(spark, path, changes[0].unionByName(changes[1]), order="at")
+    changes = docs.where("doc_id % 3 = 0 AND source < 'src5'").select(
+        name, F.concat_ws("_", "source", F.col("doc_id").cast("string")).alias("file_name"), F.col("doc_id").alias("at")
+    )
+    changed = reports.registry_entries(spark, changes, exports.PREFERENCE_LAYOUT, keep=["at"])
+    reports.register_datasets(spark, path, changed, order="at")
     entries = reports.read_registry(spark, path)
     return entries.select("name", "file_name", "formatting", F.coalesce(F.col("ranking"), F.lit(False)).cast("int").alias("ranking"))
 
 
+@registered
+def invalid_lines(spark, sf_dir):
+    """Every line of a folder that is no JSON object."""
+    path = scratch_path(spark, "lines")
+    table(spark, sf_dir, "events").select(F.expr(inputs.MIXED_LINES)).write.text(path)
+    return jsonl.invalid_jsonl_lines(spark, path).select("line", (F.col("line_number") > 0).cast("int").alias("numbered"))
+
+
 @registered
 def append_log(spark, sf_dir):
     """A log written in two appends and read as one table."""
@@ -825,6 +834,17 @@ def export_preference(spark, sf_dir):
     return out.select("prompt", "chosen", "rejected", "answer", F.to_json("metadata").alias("metadata"))
 
 
+@registered
+def export_in_order(spark, sf_dir):
+    """Pairs written by many tasks and read back line by line in the order of their prompts."""
+    records = pairs.pairs_from_scores(inputs.scored_responses(spark, sf_dir))
+    ordered_ = exports.preference_table(records, "first_ord")
+    path = jsonl.write_ordered_jsonl(ordered_, scratch_path(spark, "export"), ["first_ord"], drop=["first_ord"])
+    lines = jsonl.numbered_lines(spark, path)
+    row = jsonl.decode_json("value", "prompt string, chosen string, rejected string")
+    return lines.select("ord", row.alias("row")).select("ord", "row.*")
+
+
 @registered
 def export_instruction(spark, sf_dir):
     df = texts(spark, sf_dir, "documents").select(

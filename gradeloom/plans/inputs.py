@@ -123,6 +123,10 @@ RAGGED_PREFERENCES = """CONCAT('{"ord":', CAST(9007199254740992 + event_id AS ST
       WHEN 2 THEN CONCAT('"response":"two","rating":', CAST(user_id % 10 AS STRING))
       ELSE CONCAT('"response":" three ","answer":"x","score":"', CAST(CAST(FLOOR(value) AS BIGINT) AS STRING), '.5"') END, '}')"""
 
+# Lines most of which are JSON objects.
+MIXED_LINES = """CASE CAST(event_id % 23 AS INT) WHEN 0 THEN CONCAT('{"ord":', CAST(event_id AS STRING)) WHEN 1 THEN CONCAT('[', CAST(event_id AS STRING), ']')
+    WHEN 2 THEN '  ' WHEN 3 THEN CONCAT('{} ', CAST(event_id AS STRING)) ELSE CONCAT(' {"ord":', CAST(event_id AS STRING), '} ') END"""
+
 # Responses and answers that meet by position.
 ZIPPED_RESPONSES = {
     "response": """CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 2 = 0 THEN CONCAT('思路：a', chr(10), '步骤：b', chr(10), '答案：', CAST(user_id % 4 AS STRING))

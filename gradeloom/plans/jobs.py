@@ -18,7 +18,7 @@ from gradeloom.operators.normalize import normalize_rl, normalize_sft
 from gradeloom.operators.pairs import Mode, convert_rewards
 from gradeloom.operators.scoring import generate_completions
 from gradeloom.sources.datasets import load_dataset
-from gradeloom.sources.jsonl import reuse_or_build, write_jsonl
+from gradeloom.sources.jsonl import reuse_or_build, write_jsonl, write_ordered_jsonl
 from gradeloom.sources.reports import (
     register_datasets,
     registry_entries,
@@ -100,11 +100,12 @@ def _export(
     tables: tuple[DataFrame, DataFrame],
     file_stem: str,
     layout: dict,
+    order: str,
 ) -> str:
     files = {}
     for side, table in zip(("train", "eval"), tables):
         file = f"{file_stem}_{side}.jsonl"
-        write_jsonl(table, f"{folder}/{file}")
+        write_ordered_jsonl(table, f"{folder}/{file}", [order], drop=[order])
         files[f"{stage}_{side}"] = file
     return register_datasets(spark, f"{folder}/dataset_info", registry_entries(spark, files, layout))
 
@@ -115,8 +116,8 @@ def export_sft(
     """Chat tables and their registry entries from raw data."""
     train, held_out = prepare_sft(spark, data)
     prompt = system_prompt or TRAINING_SYSTEM_PROMPT
-    tables = (exports.chat_table(train, prompt), exports.chat_table(held_out, prompt))
-    return _export(spark, folder, stage, tables, "sft", exports.CHAT_LAYOUT)
+    tables = (exports.chat_table(train, prompt, data.ord_col), exports.chat_table(held_out, prompt, data.ord_col))
+    return _export(spark, folder, stage, tables, "sft", exports.CHAT_LAYOUT, data.ord_col)
 
 
 def export_rewards(
@@ -124,8 +125,8 @@ def export_rewards(
 ) -> str:
     """Preference tables and their registry entries from raw data."""
     train, held_out = prepare_rewards(spark, data, mode)
-    tables = (exports.preference_table(train), exports.preference_table(held_out))
-    return _export(spark, folder, stage, tables, "reward", exports.PREFERENCE_LAYOUT)
+    tables = (exports.preference_table(train, "first_ord"), exports.preference_table(held_out, "first_ord"))
+    return _export(spark, folder, stage, tables, "reward", exports.PREFERENCE_LAYOUT, "first_ord")
 
 
 def export_instructions(
@@ -133,8 +134,8 @@ def export_instructions(
 ) -> str:
     """Instruction tables and their registry entries from raw data."""
     train, held_out = prepare_rl(spark, data)
-    tables = (exports.instruction_table(train), exports.instruction_table(held_out))
-    return _export(spark, folder, stage, tables, "ppo", exports.INSTRUCTION_LAYOUT)
+    tables = (exports.instruction_table(train, data.ord_col), exports.instruction_table(held_out, data.ord_col))
+    return _export(spark, folder, stage, tables, "ppo", exports.INSTRUCTION_LAYOUT, data.ord_col)
 
 
 def evaluate_model(

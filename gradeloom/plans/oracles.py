@@ -411,9 +411,13 @@ ORACLES: dict[str, str] = {
     "records_source": """SELECT event_type, weight, ord, events
         FROM (VALUES ('view', 0::BIGINT, 0::BIGINT), ('click', 1, 1), ('absent', 2, 2)) r(event_type, weight, ord)
         LEFT JOIN (SELECT event_type, count(*) AS events FROM events GROUP BY event_type) c USING (event_type)""",
-    "registry_entries": """SELECT lower(r_name) || '_train' AS name,
-        lower(r_name) || CASE WHEN r_regionkey < 2 THEN '' WHEN r_regionkey < 4 THEN '_pairs' ELSE '_last' END || '.jsonl' AS file_name,
-        CASE WHEN r_regionkey < 2 THEN 'sharegpt' ELSE 'alpaca' END AS formatting, CAST(r_regionkey >= 2 AS INT) AS ranking FROM region""",
+    "registry_entries": """WITH last AS (SELECT source, arg_max(doc_id, doc_id) AS doc_id FROM documents WHERE doc_id % 3 = 0 AND source < 'src5' GROUP BY source)
+        SELECT DISTINCT d.source || '_train' AS name, CASE WHEN l.doc_id IS NULL THEN d.source || '.jsonl' ELSE d.source || '_' || l.doc_id END AS file_name,
+        CASE WHEN l.doc_id IS NULL THEN 'sharegpt' ELSE 'alpaca' END AS formatting, CAST(l.doc_id IS NOT NULL AS INT) AS ranking
+        FROM documents d LEFT JOIN last l ON d.source = l.source""",
+    "invalid_lines": f"""SELECT line, 1 AS numbered FROM (SELECT event_id, {inputs.MIXED_LINES} AS line FROM events)
+        WHERE event_id % 23 IN (0, 1, 3)""",
+    "export_in_order": f"SELECT row_number() OVER (ORDER BY ord) - 1 AS ord, prompt, chosen, rejected FROM ({ranked_pairs(SCORED)})",
     "reuse_or_build": f"""SELECT doc_id AS ord, concat({quote(fixed.RL_PROMPT_LEAD)}, {strip('source')}) AS prompt,
         {strip('lang')} AS answer, 'docs' AS source FROM documents""",
     "csv_round_trip": f"SELECT run, ord, step, mean_reward FROM {LOG}",

@@ -154,6 +154,37 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_ordered_jsonl(df: DataFrame, path: str, order: Sequence[str | Column], drop: Sequence[str] = (), mode: str = "overwrite") -> str:
+    """Write one object per line so that the files, read by name, hold the rows in order.
+
+    Rows are spread by ranges of ``order`` over all tasks and sorted within each; a file's number is
+    that of its range. Columns in ``drop`` only tell the order and are not written.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return write_jsonl(ranged.drop(*drop), path, mode)
+
+
+def numbered_lines(spark: SparkSession, path: str, output: str = "ord") -> DataFrame:
+    """Lines of a file, or of a folder's files by name, as ``value`` with their number from 0.
+
+    Lines are numbered inside each file block, of which a task reads a few, and start behind
+    the lines of all blocks before it.
+    """
+    located = spark.read.option("lineSep", "\n").text(path).select(
+        _LINE,
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__place"),
+    )
+    in_block = Window.partitionBy("__file", "__block").orderBy("__place")
+    blocks = located.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__lines"))
+    # One row per block.
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("__start", F.coalesce(F.sum("__lines").over(before), F.lit(0))).drop("__lines")
+    numbered = located.withColumn("__at", F.row_number().over(in_block) - 1).join(starts, ["__file", "__block"])
+    return numbered.select((F.col("__start") + F.col("__at")).alias(output), _LINE)
+
+
 def append_jsonl(df: DataFrame, path: str) -> str:
     """Add rows to a JSON Lines folder, which may not exist yet."""
     return write_jsonl(df, path, "append")

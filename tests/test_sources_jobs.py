@@ -1,6 +1,8 @@
 """Files, registry, streams and whole jobs."""
 
 import json
+import os
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -273,3 +275,60 @@ def test_scoring_needs_no_python(spark):
     df = spark.createDataFrame([("p", "r", "a")], "prompt string, response string, answer string")
     plan = scoring.score_completions(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_ordered_files_hold_the_order(spark, tmp_path):
+    df = spark.createDataFrame([(i * 7 % 1000, f"t{i * 7 % 1000}") for i in range(1000)], "ord long, t string").repartition(5)
+    path = jsonl.write_ordered_jsonl(df, str(tmp_path / "o"), ["ord"], drop=["ord"])
+    names = sorted(n for n in os.listdir(path) if n.startswith("part-"))
+    texts = [json.loads(line)["t"] for n in names for line in open(f"{path}/{n}", encoding="utf-8")]
+    assert texts == [f"t{i}" for i in range(1000)]
+    rows = jsonl.numbered_lines(spark, path).collect()
+    assert [json.loads(r.value)["t"] for r in sorted(rows)] == texts and sorted(r.ord for r in rows) == list(range(1000))
+    many = df.repartitionByRange(9, "ord")  # files of many tasks
+    assert many.rdd.getNumPartitions() == 9
+    down = jsonl.write_ordered_jsonl(df, str(tmp_path / "d"), [df["ord"].desc()])
+    assert [json.loads(r.value)["ord"] for r in sorted(jsonl.numbered_lines(spark, down).collect())] == list(range(999, -1, -1))
+
+
+def test_registry_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """A second writer commits while the first is writing: the first takes its entries in."""
+    path = str(tmp_path / "registry")
+    enter = lambda name: reports.registry_entries(spark, {name: f"{name}.jsonl"}, exports.CHAT_LAYOUT)
+    reports.register_datasets(spark, path, enter("first"))
+    real, others = reports.create_once, ["b", "c"]
+
+    def late(session, at, text):
+        if others:
+            name = others.pop()
+            monkeypatch.setattr(reports, "create_once", real)
+            reports.register_datasets(session, path, enter(name))
+            monkeypatch.setattr(reports, "create_once", late)
+        return real(session, at, text)
+
+    monkeypatch.setattr(reports, "create_once", late)
+    reports.register_datasets(spark, path, enter("a"))
+    assert sorted(r.name for r in reports.read_registry(spark, path).collect()) == ["a", "b", "c", "first"]
+    # Versions that lost are gone: one per commit is left.
+    assert len([n for n in os.listdir(path) if n.startswith("version=")]) == len([n for n in os.listdir(f"{path}/commits") if n.isdigit()]) == 4
+
+
+def test_registry_threads(spark, tmp_path):
+    path = str(tmp_path / "registry")
+
+    def write(i):
+        reports.register_datasets(spark, path, reports.registry_entries(spark, {f"n{i}": "f", "shared": f"{i}"}, exports.CHAT_LAYOUT))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(6)))
+    names = sorted(r.name for r in reports.read_registry(spark, path).collect())
+    assert names == sorted([*(f"n{i}" for i in range(6)), "shared"])
+
+
+def test_unfinished_commit_is_told(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "registry")
+    reports.register_datasets(spark, path, reports.registry_entries(spark, {"a": "f"}, exports.CHAT_LAYOUT))
+    monkeypatch.setattr(reports, "_PATIENCE", 2)
+    open(f"{path}/commits/00000002", "w").close()
+    with pytest.raises(RuntimeError, match="never finished"):
+        reports.read_registry(spark, path)

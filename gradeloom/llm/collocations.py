@@ -5,9 +5,9 @@ ends. Each word opens one window of the four words from it on, padded where the
 ends. Only these windows are counted; Spark's ROLLUP over their columns sums them to the counts
 of all shorter phrases, of single words and of a language's words.
 
-A phrase of at least ``LEAST`` occurrences has no rarer word, pair or triple of words in it.
-So windows are padded from the first word on that is rarer, or completes a rarer pair or
-triple, and no wanted count changes. Which those are is told by bit tables over hashes:
+A phrase of at least ``LEAST`` occurrences has no rarer run of words in it. So windows are
+padded from the first word on that is rarer, or completes a rarer run, and no wanted
+count changes. Which those are is told by bit tables over hashes:
 the words' from the exact vocabulary, the others' from sums over hash slots that are
 never below a run's own count. A table has at most ``MOST_BITS`` bits; where that is too
 few, fewer windows are padded and no result changes.
@@ -192,10 +192,10 @@ def lead_windows(s: Stretch, hashes: np.ndarray, tables: Sequence[Bits]) -> tupl
     A word that is itself rarer gives a window of padding only.
     """
     runs = frequent_runs(s, hashes, tables)
-    # Local numbers, 0 for padding; the runs of WIDTH words hold no rarer triple.
+    # Local numbers, 0 for padding.
     numbers = s.numbers.astype(np.int64) + 1
     columns = []
-    for lead, (at, _) in enumerate(runs):
+    for lead, (at, _) in enumerate(runs[:WIDTH]):
         column = np.zeros(len(numbers), np.int64)
         column[at] = numbers[at + lead]
         columns.append(column)
@@ -248,7 +248,7 @@ def phrase_counts(rows: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     found, positions = frequent.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     size = bits_for(32 * found)
     tables = [bit_table(frequent.select(F.col("h").bitwiseAND(F.lit(size - 1))), size)]
-    for length in range(2, WIDTH):
+    for length in range(2, WIDTH + 1):
         size = bits_for(positions // 2)
         slots = rows.mapInArrow(_runs(seed, tables, size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
         met = stored(slots.where(F.col("n") >= least), f"phrases-runs-{length}")

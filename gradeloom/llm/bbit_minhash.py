@@ -9,10 +9,12 @@ Candidates of a band bucket are first the pairs with its smallest class. A pair
 signatures, by counts of equal bit pairs corrected for chance, show a similarity below
 0.55 is dropped (five standard deviations under 0.75); the others are confirmed on full
 sets. Members linked to the smallest class are in one component, so what is left of a
-bucket are pairs with at least one member not linked to it; these are compared by
-signature inside the join and confirmed alike. No other pair can change a component: no
-partner is capped. The chance that a pair at similarity 0.75 shares no band is 2e-5, at
-0.8 it is 1e-7.
+bucket are pairs with at least one member not linked to it. The classes of such buckets
+get a second signature, two bits of 2048 minima, and a pair below 0.68 by that one is
+dropped too (five standard deviations again). Both are compared inside the join, which
+gives a pair once, in the first bucket that it shares, and the rest is confirmed alike. No
+other pair can change a component: no partner is capped. The chance that a pair at
+similarity 0.75 shares no band is 2e-5, at 0.8 it is 1e-7.
 
 Full sets are 64-bit shingle hashes; two shingles of one pair of documents share a hash
 with a chance below 1e-9 for 100,000 words. Null, blank and empty texts have no shingles
@@ -35,29 +37,32 @@ from gradeloom.llm.components import components
 BANDS, ROWS, BITS = 40, 5, 2
 HASHES = BANDS * ROWS
 ESTIMATE_LEAST = 0.55
+# The longer signature of classes in buckets of several components.
+FINE_HASHES, FINE_LEAST = 2048, 0.68
 PERCENT = int(100 * SIMILAR)
 # Ids of documents whose full sets are needed: so many longs may be broadcast (4 MB).
 BROADCAST_IDS = 500_000
 _LANES = 64 // BITS
-_WORDS = -(-HASHES // _LANES)
 _CHUNK = 1024
 
 _SKETCH = "doc_id long, n_shingles long, set_1 long, set_2 long, bands array<long>, packed array<long>"
 
 
-def _multipliers() -> np.ndarray:
-    return (mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+def _multipliers(first: int, count: int) -> np.ndarray:
+    return (mixed(np.arange(first, first + count, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-_MULTIPLY = _multipliers()
+_MULTIPLY = _multipliers(1, HASHES)
+_MULTIPLY_FINE = _multipliers(HASHES + 1, FINE_HASHES)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, multiply: np.ndarray = _MULTIPLY) -> np.ndarray:
     """The least value of every hash function over a set."""
     base = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(HASHES, np.uint32(0xFFFFFFFF))
-    for at in range(0, len(base), _CHUNK):
-        np.minimum(least, (base[at : at + _CHUNK, None] * _MULTIPLY).min(0), out=least)
+    least = np.full(len(multiply), np.uint32(0xFFFFFFFF))
+    step = max(1, _CHUNK * HASHES // len(multiply))
+    for at in range(0, len(base), step):
+        np.minimum(least, (base[at : at + step, None] * multiply).min(0), out=least)
     return least
 
 
@@ -74,11 +79,12 @@ def packed_bits(least: np.ndarray) -> np.ndarray:
     """The low bits of all minima side by side in 64-bit words."""
     # The multiplier is odd, so plain low bits would be low bits of the shingle hash.
     low = (mixed(least.astype(np.uint64)) & np.uint64((1 << BITS) - 1)) << (
-        np.arange(HASHES, dtype=np.uint64) % np.uint64(_LANES) * np.uint64(BITS)
+        np.arange(len(least), dtype=np.uint64) % np.uint64(_LANES) * np.uint64(BITS)
     )
-    padded = np.zeros(_WORDS * _LANES, np.uint64)
-    padded[:HASHES] = low
-    return np.bitwise_or.reduce(padded.reshape(_WORDS, _LANES), axis=1)
+    words = -(-len(least) // _LANES)
+    padded = np.zeros(words * _LANES, np.uint64)
+    padded[: len(least)] = low
+    return np.bitwise_or.reduce(padded.reshape(words, _LANES), axis=1)
 
 
 def _encoded(column: pa.Array) -> Iterator[bytes]:
@@ -110,15 +116,27 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
 
-def estimate(left: str, right: str) -> Column:
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums, fine = [], []
+        for text in _encoded(batch.column(1)):
+            found = shingle_hashes(word_hashes(lower_ascii(text)))
+            sums.append(int(found.sum(dtype=np.uint64).astype(np.int64)))
+            fine.append(packed_bits(minima(found, _MULTIPLY_FINE)).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sums, pa.int64()), pa.array(fine, pa.list_(pa.int64()))], ["class_id", "set_1", "fine"]
+        )
+
+
+def estimate(left: str, right: str, hashes: int = HASHES) -> Column:
     """Similarity from two packed signatures, corrected for chance agreement of low bits."""
     odd = F.lit(0x5555555555555555)
     differing = F.lit(0)
-    for i in range(_WORDS):
+    for i in range(-(-hashes // _LANES)):
         x = F.col(left)[i].bitwiseXOR(F.col(right)[i])
         differing = differing + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd))
     chance = 1 / (1 << BITS)
-    return (F.lit(1.0) - differing / F.lit(float(HASHES)) - F.lit(chance)) / F.lit(1 - chance)
+    return (F.lit(1.0) - differing / F.lit(float(hashes)) - F.lit(chance)) / F.lit(1 - chance)
 
 
 def _may_match(a: str = "a", b: str = "b") -> Column:
@@ -144,12 +162,15 @@ class _Confirm:
     def __init__(self, docs: DataFrame) -> None:
         self.docs = docs
 
+    def texts(self, ids: DataFrame) -> DataFrame:
+        """The texts of stored ids, given as ``doc_id``."""
+        few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        return self.docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
     def __call__(self, pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "minhash-pairs")
         needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "minhash-needed")
-        few = needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-        texts = self.docs.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
-        sets = stored(texts.mapInArrow(_full_sets, "class_id long, shingles array<long>"), "minhash-sets")
+        sets = stored(self.texts(needed).mapInArrow(_full_sets, "class_id long, shingles array<long>"), "minhash-sets")
         both = _with_class(_with_class(pairs.select("a", "b"), sets, "a", "shingles"), sets, "b", "shingles")
         shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
         union = F.size("shingles_a") + F.size("shingles_b") - shared
@@ -182,13 +203,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = stored(components(links).select("node", "component"), "minhash-found")
     crowded = members.where(F.col("members") > 2)
     placed = _with_component(_with_component(crowded, found, "class_id", "own"), found, "pivot", "first")
-    apart = placed.where(F.col("own") != F.col("first")).select("key", F.col("class_id").alias("a"), F.col("own").alias("own_a"))
-    apart = stored(_with_class(apart, classes, "a", "n_shingles", "packed"), "minhash-apart")
-    others = placed.join(apart.select("key").distinct(), "key", "left_semi")
-    others = others.select("key", F.col("class_id").alias("b"), F.col("own").alias("own_b"))
-    others = _with_class(others, classes, "b", "n_shingles", "packed")
-    met = apart.join(others, "key").where((F.col("own_a") != F.col("own_b")) & _may_match())
-    second = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    placed = stored(placed.withColumn("apart", F.col("own") != F.col("first")), "minhash-placed")
+    mixed_keys = stored(placed.where("apart").select("key").distinct(), "minhash-mixed")
+    placed = stored(placed.join(mixed_keys, "key", "left_semi").select("key", "class_id", "own", "apart"), "minhash-crowded")
+    ids = stored(placed.select(F.col("class_id").alias("doc_id")).distinct(), "minhash-ids")
+    fine = confirm.texts(ids).mapInArrow(_fine, "class_id long, set_1 long, fine array<long>")
+    # An id may be repeated, with the same text or another.
+    fine = fine.groupBy("class_id", "set_1").agg(F.first("fine").alias("fine"))
+    signed = stored(classes.join(fine, ["class_id", "set_1"]), "minhash-signed")
+    columns = ("n_shingles", "packed", "fine", "bands")
+    left = placed.where("apart").select("key", F.col("class_id").alias("a"), F.col("own").alias("own_a"))
+    right = placed.select("key", F.col("class_id").alias("b"), F.col("own").alias("own_b"), "apart")
+    left, right = _with_class(left, signed, "a", *columns), _with_class(right, signed, "b", *columns)
+    once = (~F.col("apart") | (F.col("a") < F.col("b"))) & (F.col("own_a") != F.col("own_b"))
+    alike = estimate("fine_a", "fine_b", FINE_HASHES) >= FINE_LEAST
+    first_shared = F.array_intersect("bands_a", "bands_b")[0] == F.col("key")
+    met = left.join(right, "key").where(once & _may_match() & alike & first_shared)
+    second = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = components(links.union(confirm(second)))
 
     owner = classes.select(*same, "class_id").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")

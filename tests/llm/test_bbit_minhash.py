@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from gradeloom.llm.bbit_minhash import HASHES, band_keys, minima, near_duplicates, packed_bits
+from gradeloom.llm.bbit_minhash import _MULTIPLY_FINE, FINE_HASHES, FINE_LEAST, HASHES, band_keys, minima, near_duplicates, packed_bits
 from gradeloom.llm.common import shingle_hashes, word_hashes
 from gradeloom.llm.components import components
 
@@ -109,3 +109,33 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     found = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert all(found[i] == 100 for i in range(100, 161))
     assert all(found[i] == 7 for i in range(200, 260)) and 5 not in found
+
+
+def test_mutual_near_copies_of_one_text(spark):
+    """Many texts of one origin: most pairs share bands, lie just below or above 0.75, in several components."""
+    pick = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(500)]
+    origin = [pick.choice(vocabulary) for _ in range(120)]
+    rows = []
+    for i in range(160):
+        words = list(origin)
+        for _ in range(pick.choice([1, 2, 3, 4])):
+            words[pick.randrange(len(words))] = pick.choice(vocabulary)
+        rows.append((i, " ".join(words), "clash", 1))
+    # The same id with another text joins what either text is close to.
+    rows += [(7, rows[3][1], "clash", 1)]
+    found = run(spark, rows)
+    want = {i: c for i, _, c, _ in brute(rows[:-1])}
+    assert len(set(want.values())) > 1
+    assert [(i, c) for i, _, c, _ in found if i not in (3, 7)] == [(i, c) for i, c in sorted(want.items()) if i not in (3, 7)]
+
+
+def test_second_signature_keeps_links():
+    pick = np.random.default_rng(2)
+    for n in (20, 60, 400):
+        for _ in range(60):
+            sets = pick.integers(0, 2**63, 2 * n).astype(np.uint64)
+            shared = -(-6 * n // 7)  # similarity 0.75 or more
+            a, b = (packed_bits(minima(x, _MULTIPLY_FINE)) for x in (sets[:n], sets[n - shared : 2 * n - shared]))
+            differing = sum(int((int(v) | int(v) >> 1) & 0x5555555555555555).bit_count() for v in a ^ b)
+            assert ((1 - differing / FINE_HASHES) - 0.25) / 0.75 >= FINE_LEAST

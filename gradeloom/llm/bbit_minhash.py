@@ -11,10 +11,12 @@ signatures, by counts of equal bit pairs corrected for chance, show a similarity
 sets. Members linked to the smallest class are in one component, so what is left of a
 bucket are pairs with at least one member not linked to it. The classes of such buckets
 get a second signature, two bits of 2048 minima, and a pair below 0.68 by that one is
-dropped too (five standard deviations again). Both are compared inside the join, which
-gives a pair once, in the first bucket that it shares, and the rest is confirmed alike. No
-other pair can change a component: no partner is capped. The chance that a pair at
-similarity 0.75 shares no band is 2e-5, at 0.8 it is 1e-7.
+dropped too (five standard deviations again). Two sets of at most 1024 shingles then are
+compared as they are, so of mutual near copies just below 0.75 no pair leaves the join.
+All that is compared inside the join, which gives a pair once, in the first bucket that it
+shares, and the rest is confirmed alike. No other pair can change a component: no partner
+is capped. The chance that a pair at similarity 0.75 shares no band is 2e-5, at 0.8 it is
+1e-7.
 
 Full sets are 64-bit shingle hashes; two shingles of one pair of documents share a hash
 with a chance below 1e-9 for 100,000 words. Null, blank and empty texts have no shingles
@@ -39,6 +41,8 @@ HASHES = BANDS * ROWS
 ESTIMATE_LEAST = 0.55
 # The longer signature of classes in buckets of several components.
 FINE_HASHES, FINE_LEAST = 2048, 0.68
+# Sets up to this size (8 kB) travel to their buckets whole; pairs of larger ones are confirmed apart.
+WHOLE_SET = 1024
 PERCENT = int(100 * SIMILAR)
 # Ids of documents whose full sets are needed: so many longs may be broadcast (4 MB).
 BROADCAST_IDS = 500_000
@@ -118,13 +122,15 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums, fine = [], []
+        sums, fine, whole = [], [], []
         for text in _encoded(batch.column(1)):
             found = shingle_hashes(word_hashes(lower_ascii(text)))
             sums.append(int(found.sum(dtype=np.uint64).astype(np.int64)))
             fine.append(packed_bits(minima(found, _MULTIPLY_FINE)).view(np.int64))
+            whole.append(found.view(np.int64) if len(found) <= WHOLE_SET else None)
+        wide = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sums, pa.int64()), pa.array(fine, pa.list_(pa.int64()))], ["class_id", "set_1", "fine"]
+            [batch.column(0), pa.array(sums, pa.int64()), pa.array(fine, wide), pa.array(whole, wide)], ["class_id", "set_1", "fine", "whole"]
         )
 
 
@@ -145,6 +151,12 @@ def _may_match(a: str = "a", b: str = "b") -> Column:
     return (100 * small >= PERCENT * large) & (estimate(f"packed_{a}", f"packed_{b}") >= ESTIMATE_LEAST)
 
 
+def _linked(a: str, b: str) -> Column:
+    """Whether two full sets are similar enough; null if one is not there."""
+    # 100 * shared >= PERCENT * union, the intersection being made once.
+    return (100 + PERCENT) * F.size(F.array_intersect(a, b)) >= PERCENT * (F.size(a) + F.size(b))
+
+
 def _with_class(pairs: DataFrame, classes: DataFrame, side: str, *columns: str) -> DataFrame:
     other = classes.select(F.col("class_id").alias(side), *[F.col(c).alias(f"{'n' if c == 'n_shingles' else c}_{side}") for c in columns])
     return pairs.join(other, side)
@@ -172,9 +184,7 @@ class _Confirm:
         needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "minhash-needed")
         sets = stored(self.texts(needed).mapInArrow(_full_sets, "class_id long, shingles array<long>"), "minhash-sets")
         both = _with_class(_with_class(pairs.select("a", "b"), sets, "a", "shingles"), sets, "b", "shingles")
-        shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-        union = F.size("shingles_a") + F.size("shingles_b") - shared
-        return stored(both.where(100 * shared >= PERCENT * union).select("a", "b").distinct(), "minhash-links")
+        return stored(both.where(_linked("shingles_a", "shingles_b")).select("a", "b").distinct(), "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,18 +217,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed_keys = stored(placed.where("apart").select("key").distinct(), "minhash-mixed")
     placed = stored(placed.join(mixed_keys, "key", "left_semi").select("key", "class_id", "own", "apart"), "minhash-crowded")
     ids = stored(placed.select(F.col("class_id").alias("doc_id")).distinct(), "minhash-ids")
-    fine = confirm.texts(ids).mapInArrow(_fine, "class_id long, set_1 long, fine array<long>")
+    fine = confirm.texts(ids).mapInArrow(_fine, "class_id long, set_1 long, fine array<long>, whole array<long>")
     # An id may be repeated, with the same text or another.
-    fine = fine.groupBy("class_id", "set_1").agg(F.first("fine").alias("fine"))
+    fine = fine.groupBy("class_id", "set_1").agg(F.first("fine").alias("fine"), F.first("whole").alias("whole"))
     signed = stored(classes.join(fine, ["class_id", "set_1"]), "minhash-signed")
-    columns = ("n_shingles", "packed", "fine", "bands")
+    columns = ("n_shingles", "packed", "fine", "whole", "bands")
     left = placed.where("apart").select("key", F.col("class_id").alias("a"), F.col("own").alias("own_a"))
     right = placed.select("key", F.col("class_id").alias("b"), F.col("own").alias("own_b"), "apart")
     left, right = _with_class(left, signed, "a", *columns), _with_class(right, signed, "b", *columns)
     once = (~F.col("apart") | (F.col("a") < F.col("b"))) & (F.col("own_a") != F.col("own_b"))
     alike = estimate("fine_a", "fine_b", FINE_HASHES) >= FINE_LEAST
     first_shared = F.array_intersect("bands_a", "bands_b")[0] == F.col("key")
-    met = left.join(right, "key").where(once & _may_match() & alike & first_shared)
+    whole = F.col("whole_a").isNull() | F.col("whole_b").isNull() | _linked("whole_a", "whole_b")
+    met = left.join(right, "key").where(once & _may_match() & alike & first_shared & whole)
     second = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = components(links.union(confirm(second)))
 

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from gradeloom.llm import bbit_minhash
 from gradeloom.llm.bbit_minhash import _MULTIPLY_FINE, FINE_HASHES, FINE_LEAST, HASHES, band_keys, minima, near_duplicates, packed_bits
 from gradeloom.llm.common import shingle_hashes, word_hashes
 from gradeloom.llm.components import components
@@ -139,3 +140,29 @@ def test_second_signature_keeps_links():
             a, b = (packed_bits(minima(x, _MULTIPLY_FINE)) for x in (sets[:n], sets[n - shared : 2 * n - shared]))
             differing = sum(int((int(v) | int(v) >> 1) & 0x5555555555555555).bit_count() for v in a ^ b)
             assert ((1 - differing / FINE_HASHES) - 0.25) / 0.75 >= FINE_LEAST
+
+
+def test_pairs_below_the_least_similarity_do_not_leave_the_join(spark, monkeypatch):
+    """Mutual near copies around 0.7 give no table of pairs; the links between them stay."""
+    pick = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(900)]
+    origin = [pick.choice(vocabulary) for _ in range(230)]
+    rows = []
+    for i in range(30):
+        words = list(origin)
+        for at in pick.sample(range(4, 226, 5), 4):
+            words[at] = f"x{i}"
+        rows.append((i, " ".join(words), "clash", 1))
+    sizes, kept = [], bbit_minhash.stored
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label in ("minhash-pairs", "minhash-links"):
+            sizes.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(bbit_minhash, "stored", counted)
+    assert run(spark, rows) == brute(rows)
+    # Of the second pass every pair is a link.
+    (_, pairs), (_, links) = sizes[2:]
+    assert pairs == links

@@ -14,8 +14,8 @@ effect. All but the last return the columns of ``documents``; extra columns stay
 4. mixing: rows are taken as often as the mix of their source asks, zero to three times.
 5. tokens: all rows as token ids in binary files; one row per document comes back.
 
-Stages 2 and 3 decide on rows by keys of their own, so rows without id and rows that repeat
-an id are searched and dropped each for itself.
+Stage 2 decides on rows by a key of its own and stage 3 by the digest of the text, so rows
+without id and rows that repeat an id are searched and dropped each for itself.
 
 No rows give no rows.
 """
@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, pareto_mix, pfor_blocks
-from gradeloom.llm.common import sized, stored, table
-from gradeloom.operators.ordered import with_ordinal
+from gradeloom.llm.common import sized, stored, stored_alone, table
 
 TOKENIZER = "byte_bpe_50k.json"
 # Quartiles tell something from so many rows on, and differ by chance by the noise of a cosine.
@@ -66,18 +65,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return joined.where(F.col("score") >= bound).select("row.*")
 
 
+def near_copies(rows: DataFrame) -> DataFrame:
+    """The rows to drop: of each group all but the one with the smallest id, a null id last."""
+    found = bbit_minhash.near_duplicates(rows, "__row").where(F.col("n_shingles") > 0)
+    found = stored(found.select(F.col("doc_id").alias("__row"), "component_id"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row")
+    kept = found.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(first)
+    return found.join(kept, "__row", "left_anti").select(F.col("__row").alias("__dropped"))
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Numbered by id, so that the smallest number of a group is its smallest id.
-    tied = docs.withColumn("__tie", F.monotonically_increasing_id())
-    rows = with_ordinal(tied, [F.col("doc_id").asc_nulls_last(), F.col("__tie")], "__row").drop("__tie")
-    found = bbit_minhash.near_duplicates(rows, "__row")
-    dropped = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")), "dropped")
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    dropped = stored_alone(lambda: near_copies(rows), "dropped")
     return rows.join(dropped, rows["__row"] == dropped["__dropped"], "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
-    return decontaminate.without_leaks(rows, table(spark, sf_dir, "benchmark"), "__row").select(*docs.columns)
+    # Equal texts hold the same items, so the text's digest is key enough.
+    rows = docs.withColumn("__text", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return decontaminate.without_leaks(rows, table(spark, sf_dir, "benchmark"), "__text").select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import SIMILAR, lower_ascii, mixed, shingle_hashes, stored, word_hashes
+from gradeloom.llm.common import SIMILAR, lower_ascii, mixed, shingle_hashes, slices, stored, word_hashes
 from gradeloom.llm.components import components
 
 BANDS, ROWS, BITS = 40, 5, 2
@@ -97,7 +97,7 @@ def _encoded(column: pa.Array) -> Iterator[bytes]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sizes, first, second, bands, packed = [], [], [], [], []
         for text in _encoded(batch.column(1)):
             found = shingle_hashes(word_hashes(lower_ascii(text)))
@@ -115,13 +115,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingle_hashes(word_hashes(lower_ascii(text))).view(np.int64) for text in _encoded(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["class_id", "shingles"])
 
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sums, fine, whole = [], [], []
         for text in _encoded(batch.column(1)):
             found = shingle_hashes(word_hashes(lower_ascii(text)))

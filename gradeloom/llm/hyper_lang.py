@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from gradeloom.llm.common import slices
+
 UNKNOWN = "und"
 DIMENSIONS = 1024
 SLOTS = 128
@@ -138,11 +140,14 @@ def learn_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     return [lang for lang, _ in known], (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _predict(names: list[str], profiles: np.ndarray):
+def _predict(names: list[str], profiles: np.ndarray, field: str | None = None):
+    """Predictions from the last column, or from a field of the first, the kept row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             langs, scores = [], []
-            for _, found in _groups(batch.column(0)):
+            row = batch.column(0)
+            for _, found in _groups(batch.column(1) if field is None else row.field(field)):
                 vectors = text_vectors(found)
                 norms = np.linalg.norm(vectors, axis=1)
                 cosines = (vectors @ profiles.T) / np.maximum(norms, 1e-9)[:, None] if names else np.zeros((len(found), 1))
@@ -152,7 +157,7 @@ def _predict(names: list[str], profiles: np.ndarray):
                     langs.append(names[best[i]] if known else UNKNOWN)
                     scores.append(float(min(max(cosines[i, best[i]], 0.0), 1.0)) if known else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"]
+                [row, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"]
             )
 
     return run
@@ -166,7 +171,10 @@ def identify(
     Learns from the rows where ``train`` holds; predicts from the text alone.
     """
     names, profiles = learn_languages(docs.where(train), text_col, lang_col)
-    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])
-    rows = docs.select(F.col(text_col).alias("t"), row.alias("row"))
+    kept = docs.columns if keep is None else keep
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    # A text that is kept travels once.
+    field = text_col if list(kept).count(text_col) == 1 else None
+    rows = docs.select(row) if field else docs.select(row, F.col(text_col).alias("t"))
     schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(_predict(names, profiles), schema)
+    return rows.mapInArrow(_predict(names, profiles, field), schema)

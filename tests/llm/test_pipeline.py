@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -6,6 +8,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from gradeloom.llm.common import stored
 from gradeloom.llm.oracles import ORACLES
+from gradeloom.runtime import shared_dir
 from tests.llm.test_bbit_minhash import brute as brute_groups
 from tests.llm.test_decontaminate import brute as brute_leaks
 
@@ -101,3 +104,22 @@ def test_unlearned_languages_and_letter_junk_go(spark):
         rows.append((1100 + i, "".join(letters), None, "s", 0, "x"))
     left = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
     assert left == set(range(400))
+
+
+def test_deciding_on_rows_leaves_one_copy_of_the_texts(spark, tmp_path):
+    """Of the tables made on the way only those stay that the stage's rows are read from."""
+    rows, items = corpus()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    shared, docs = Path(shared_dir(spark)), spark.createDataFrame(rows, SCHEMA)
+
+    def left_by(stage):
+        before = {p.name for p in shared.iterdir()}
+        found = stage(spark, docs, str(tmp_path))
+        made = [p for p in shared.iterdir() if p.name not in before]
+        assert found.count() > 0
+        return sorted(p.name.rsplit("-", 1)[0] for p in made)
+
+    checkpoints = sum(1 for _ in shared.glob("*/rdd-*"))
+    assert left_by(corpus_pipeline.near_dedup_stage) == ["dropped", "keyed"]
+    assert sum(1 for _ in shared.glob("*/rdd-*")) <= checkpoints
+    assert "keyed" not in left_by(corpus_pipeline.decontamination_stage)

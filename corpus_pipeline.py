@@ -17,6 +17,9 @@ effect. All but the last return the columns of ``documents``; extra columns stay
 Stage 2 decides on rows by a key of its own and stage 3 by the digest of the text, so rows
 without id and rows that repeat an id are searched and dropped each for itself.
 
+Stages that hand texts to Python bound the session's Arrow batches (``bound_text_batches``),
+which stays so for the session.
+
 No rows give no rows.
 """
 
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm import bbit_minhash, decontaminate, hyper_lang, pareto_mix, pfor_blocks
 from gradeloom.llm.common import sized, stored, stored_alone, table
+from gradeloom.runtime import bound_text_batches
 
 TOKENIZER = "byte_bpe_50k.json"
 # Quartiles tell something from so many rows on, and differ by chance by the noise of a cosine.
@@ -47,6 +51,7 @@ def language_bounds(found: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_text_batches(spark)
     found = hyper_lang.identify(docs, F.lit(True)).where(F.col("lang_pred") != hyper_lang.UNKNOWN)
     # Lengths by powers of two, in letters: signs and digits tell no language.
     letters = F.length(F.regexp_replace("row.text", r"\P{L}+", ""))
@@ -75,6 +80,7 @@ def near_copies(rows: DataFrame) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_text_batches(spark)
     rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
     dropped = stored_alone(lambda: near_copies(rows), "dropped")
     return rows.join(dropped, rows["__row"] == dropped["__dropped"], "left_anti").select(*docs.columns)
@@ -91,6 +97,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_text_batches(spark)
     return pfor_blocks.read_documents(pfor_blocks.write_ids(docs, public_tokenizers.path(TOKENIZER)))
 
 

@@ -3,12 +3,13 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from gradeloom.llm.common import stored
 from gradeloom.llm.oracles import ORACLES
-from gradeloom.runtime import shared_dir
+from gradeloom.runtime import TEXT_BATCH_ROWS, bound_text_batches, shared_dir
 from tests.llm.test_bbit_minhash import brute as brute_groups
 from tests.llm.test_decontaminate import brute as brute_leaks
 
@@ -123,3 +124,25 @@ def test_deciding_on_rows_leaves_one_copy_of_the_texts(spark, tmp_path):
     assert left_by(corpus_pipeline.near_dedup_stage) == ["dropped", "keyed"]
     assert sum(1 for _ in shared.glob("*/rdd-*")) <= checkpoints
     assert "keyed" not in left_by(corpus_pipeline.decontamination_stage)
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.language_stage, corpus_pipeline.near_dedup_stage, corpus_pipeline.token_stage])
+def test_texts_reach_python_in_small_batches(spark, stage):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(i, f"the quick brown fox {i}", "en", "s", 0, "x") for i in range(40)], SCHEMA)
+    many = spark.range(5 * TEXT_BATCH_ROWS, numPartitions=1)
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        stage(spark, docs, "")
+
+        def sizes(batches):
+            for batch in batches:
+                yield batch.slice(0, 1) if batch.num_rows <= TEXT_BATCH_ROWS else batch
+
+        assert many.mapInArrow(sizes, "id long").count() == 5
+        spark.conf.set(key, "10")
+        bound_text_batches(spark)
+        assert spark.conf.get(key) == "10"
+    finally:
+        spark.conf.set(key, before)

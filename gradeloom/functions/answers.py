reward_means: strip each end of an extracted answer once

Symptom: reward_means spent 617 to 638 JVM CPU seconds and 2 to 3 GC seconds per input GB on sf0.1 lineitem, and 318 to 370 CPU seconds in its one scoring stage on 12 million rows (20 times sf0.1, shifted keys, 173 MB).
Evidence: four fifths of the profile's samples were in a generated method of 8085 bytes, which the Java VM only interprets; the shorter scoring code of the commit before this one, 6981 bytes, is shared by this query. In the profile of compiled code, stripping blanks was the largest part, 24 %: every answer was stripped at both ends before its line was cut out and again after that.
Fix: the first line needs its start stripped before and its end after, the last line the other way round, so each end is searched for blanks once. Tests hold the generated method below 8000 bytes and count the strips in the plan.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 368 -> 169 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.25 GB, longest task 29 -> 12 s, most memory of a task 34 -> 34 MB; at 6 GB of input CPU 1849 -> 577 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 1.61 -> 1.61 GB, longest task 48 -> 16 s, most memory of a task 34 -> 34 MB; with hot keys, at 1 GB of input CPU 367 -> 170 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.25 -> 0.25 GB, longest task 30 -> 12 s, most memory of a task 34 -> 34 MB.

@@ -17,7 +17,9 @@ from gradeloom.functions.whitespace import (
     as_column,
     first_line,
     last_line,
+    left_strip,
     let,
+    right_strip,
     strip,
 )
 
@@ -62,8 +64,8 @@ def extract_final_answer(text: ColumnOrName) -> Column:
     headed = F.when(F.contains(body, F.lit(_ANSWER_WORD)), _heading(body, _ANSWER_HEADING))
     return F.coalesce(
         strip(boxed),
-        first_line(strip(F.coalesce(headed, _heading(body, _FINAL_ANSWER)))),
-        F.btrim(last_line(strip(body)), F.lit(_FULL_STOPS)),
+        first_line(left_strip(F.coalesce(headed, _heading(body, _FINAL_ANSWER)))),
+        F.btrim(last_line(right_strip(body)), F.lit(_FULL_STOPS)),
     )
 
 

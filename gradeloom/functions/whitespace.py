@@ -44,21 +44,31 @@ def strip(text: ColumnOrName) -> Column:
     return F.btrim(as_column(text), F.lit(BLANKS))
 
 
+def left_strip(text: ColumnOrName) -> Column:
+    """Remove whitespace from the start."""
+    return F.ltrim(as_column(text), F.lit(BLANKS))
+
+
+def right_strip(text: ColumnOrName) -> Column:
+    """Remove whitespace from the end."""
+    return F.rtrim(as_column(text), F.lit(BLANKS))
+
+
 def is_blank(text: ColumnOrName) -> Column:
     """True for null, empty and whitespace-only text."""
     return F.coalesce(strip(text), F.lit("")) == ""
 
 
 def first_line(stripped: ColumnOrName) -> Column:
-    """First line of text that has already been stripped."""
+    """First line of text whose start has already been stripped."""
     head = F.substring_index(as_column(stripped), "\n", 1)
-    return strip(F.regexp_extract(head, rf"\A{_NOT_LINE_END}*+", 0))
+    return right_strip(F.regexp_extract(head, rf"\A{_NOT_LINE_END}*+", 0))
 
 
 def last_line(stripped: ColumnOrName) -> Column:
-    """Last line of text that has already been stripped."""
+    """Last line of text whose end has already been stripped."""
     tail = F.substring_index(as_column(stripped), "\n", -1)
-    return strip(F.regexp_extract(tail, rf"(?s)\A(?:.*{_LINE_END})?({_NOT_LINE_END}*)\z", 1))
+    return left_strip(F.regexp_extract(tail, rf"(?s)\A(?:.*{_LINE_END})?({_NOT_LINE_END}*)\z", 1))
 
 
 def clean_lines(text: ColumnOrName) -> Column:

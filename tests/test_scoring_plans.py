@@ -47,6 +47,19 @@ def test_scored_completions_stay_compiled(planning, folder):
     assert largest_method(scored) < LARGEST_COMPILED
 
 
+def test_reward_means_stay_compiled(planning, folder):
+    assert largest_method(catalog.QUERIES["reward_means"](planning, folder)) < LARGEST_COMPILED
+
+
+def test_extraction_strips_each_end_once(spark, values):
+    texts = ["答案： \u3000a b\u3000 \\x\r c", " \n\u3000 d e \u2028\n ", "\u3000", "答案： \x0b \n\u3000", "x\u3000\n\u3000y\u3000z\u3000", "final answer\u3000 7 "]
+    assert values(texts, answers.extract_final_answer("t")) == ["a b\u3000 \\x", "d e", "", "", "y\u3000z", "7"]
+    df = spark.range(1).select(F.uuid().alias("t")).select(answers.extract_final_answer("t").alias("e"))
+    # Both ends of what a box holds and of full stops; other answers lose the blanks of each end once.
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert [len(re.findall(rf"\b{name}\(", plan)) for name in ("trim", "ltrim", "rtrim")] == [2, 2, 2]
+
+
 def test_second_normal_form(values):
     rng = random.Random(5)
     texts = ["".join(rng.choices("\\\\()[]$ ,.。−．\u3000aΣİ5", k=rng.randint(0, 9))) for _ in range(3000)]

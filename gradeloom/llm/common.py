@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextvars import ContextVar
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -147,16 +148,41 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mixed(poly ^ ((ends - starts).astype(np.uint64) * _GOLDEN))
 
 
+def _runs(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words, in order."""
+    count = len(words) - width + 1
+    out = np.full(count, np.uint64(width), np.uint64)
+    for i in range(width):
+        out = mixed(out * _GOLDEN + words[i : count + i])
+    return out
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted, each value once: ``np.unique`` takes several times as long on short arrays."""
+    hashes = np.sort(hashes)
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    return hashes[new]
+
+
 def shingle_hashes(words: np.ndarray, width: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``width`` words.
 
     Fewer words make one shingle of all of them; no words make none.
     """
-    n = len(words)
-    if n == 0:
-        return words
-    span = min(n, width)
-    out = np.full(n - span + 1, np.uint64(span), np.uint64)
-    for i in range(span):
-        out = mixed(out * _GOLDEN + words[i : n - span + 1 + i])
-    return np.unique(out)
+    return _distinct(_runs(words, min(len(words), width))) if len(words) else words
+
+
+def shingle_sets(texts: Sequence[bytes], width: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """:func:`shingle_hashes` of every text. The words and runs of all texts are hashed at once."""
+    words = word_hashes(b" ".join(texts))
+    runs = _runs(words, width) if len(words) >= width else words[:0]
+    # bytes.split() parts words at the bytes of GAP; the last text has the rest.
+    ends = [*accumulate(len(text.split()) for text in texts[:-1]), len(words)]
+    sets = []
+    for start, end in zip([0, *ends], ends):
+        if end - start < width:
+            sets.append(shingle_hashes(words[start:end], width))
+        else:  # runs that reach into the next text stay out
+            sets.append(_distinct(runs[start : end - width + 1]))
+    return sets
